@@ -128,7 +128,7 @@ def join_labels(t: Tables):
 def _plain_scores(t: Tables):
     """A risk score made from two features, so the SQL can make the same."""
     f = t.features
-    score = F.least(F.round(F.col("internet_share") * 2, 4), F.lit(1.0))
+    score = F.least(F.round(F.col("internet_share") * 2, 6), F.lit(1.0))
     return f.select(
         "grid_id",
         "feature_timestamp",
@@ -139,9 +139,9 @@ def _plain_scores(t: Tables):
 
 
 _RISK = (
-    "SELECT f.grid_id, f.feature_timestamp AS timestamp, least(round(f.internet_share * 2, 4), 1.0) AS risk_score, "
-    "CASE WHEN least(round(f.internet_share * 2, 4), 1.0) >= 0.7 THEN 'high' "
-    "WHEN least(round(f.internet_share * 2, 4), 1.0) >= 0.4 THEN 'medium' ELSE 'low' END AS risk_level, "
+    "SELECT f.grid_id, f.feature_timestamp AS timestamp, least(round(f.internet_share * 2, 6), 1.0) AS risk_score, "
+    "CASE WHEN least(round(f.internet_share * 2, 6), 1.0) >= 0.7 THEN 'high' "
+    "WHEN least(round(f.internet_share * 2, 6), 1.0) >= 0.4 THEN 'medium' ELSE 'low' END AS risk_level, "
     "'fixed-v1' AS model_version, round(n.anomaly_score, 6) AS anomaly_score, n.anomaly_flag, n.direction, n.reason "
     "FROM features f LEFT JOIN anomalies n ON f.grid_id = n.grid_id AND f.feature_timestamp = n.timestamp"
 )
