@@ -30,7 +30,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True if a file or folder exists; asks Spark's own listing, reads no content."""
     try:
-        spark.read.format("binaryFile").load(path)
+        # Without the option, unlike subfolders would be taken for a broken partition layout.
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return False

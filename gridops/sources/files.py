@@ -25,21 +25,32 @@ def read_activity_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: path, file_name, length, modificationTime. Content is not read."""
+    """One row per file under ``path``: path, file_name, length, modificationTime. Content is not read.
+
+    A scan leaves empty files out, so the names come from the reader's own listing
+    (which the driver holds for any read) and the scan adds length and time.
+    """
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
-    return files.withColumn("file_name", F.element_at(F.split("path", "/"), -1))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # One spelling for both: "scheme:/path" without an empty authority.
+    spelled = F.regexp_replace(F.url_decode("uri"), "^(\\w+)://+(?=/)", "$1:").alias("path")
+    names = spark.createDataFrame([(uri.replace("+", "%2B"),) for uri in files.inputFiles()], "uri string").select(spelled)
+    known = names.join(files.select("path", "length", "modificationTime"), "path", "left")
+    return known.withColumns(
+        {"length": F.coalesce("length", F.lit(0)), "file_name": F.element_at(F.split("path", "/"), -1)}
+    )
 
 
 def discover_files(
     spark: SparkSession, directory: str, pattern: str = FILE_PATTERN, require_match: bool = False
 ) -> DataFrame:
-    """Files of ``directory`` whose whole name matches ``pattern``, sorted by name."""
-    files = list_files(spark, directory)
-    if not files.where(F.col("path").endswith(directory.rstrip("/"))).isEmpty():
+    """Files directly in ``directory`` whose whole name matches ``pattern``, sorted by name."""
+    files, root = list_files(spark, directory), directory.rstrip("/")
+    if not files.where(F.col("path").endswith(root)).isEmpty():
         raise NotADirectoryError(directory)
-    found = files.where(F.col("file_name").rlike(pattern))
+    direct = F.col("path").endswith(F.concat(F.lit(f"{root}/"), F.col("file_name")))
+    found = files.where(direct & F.col("file_name").rlike(pattern))
     if require_match and found.isEmpty():
         raise FileNotFoundError(f"no file in {directory} matches {pattern}")
     return found.withColumn("file_date", F.regexp_extract("file_name", pattern, 1).try_cast("date")).orderBy(

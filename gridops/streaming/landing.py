@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridops.plans.landing import already_processed, ingest_landing, read_audit
 from gridops.schema import FILE_PATTERN
+from gridops.sources.files import discover_files
 
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -53,7 +54,10 @@ def ingest_arrivals(
     A file logged by a run that died before its decision is picked up by the next
     run; files with a decision are not read, and get no SKIPPED row.
     """
-    seen = log_arrivals(spark, landing, arrivals, checkpoint, pattern)
+    seen = log_arrivals(spark, landing, arrivals, checkpoint, pattern).select("path", "file_name")
+    # A stream emits no row for an empty file; the listing still shows it, so it can be rejected.
+    empty = discover_files(spark, landing, pattern).where("length = 0").select("path", "file_name")
+    seen = seen.unionByName(empty)
     done = already_processed(seen, read_audit(spark, audit))
     fresh = seen.join(done.select("file_name"), "file_name", "left_anti")
     return ingest_landing(spark, landing, raw, rejected, audit, processed_at, files=fresh)
