@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridops.functions.geo import degree_distance, outer_ring, vertex_centroid
+from gridops.session import scratch_path
 
 ROOT_WIDTH = 512.0  # degrees: one root bucket covers all longitudes and latitudes
 # Widths down to 512 / 2**24 = 3e-5 degrees (3 m). Distances are rounded to 1e-5 before
@@ -44,13 +45,20 @@ def nearby_grids(geo: DataFrame, k: int = 5) -> DataFrame:
     """
     if not 1 <= k <= 20:
         raise ValueError("k must be between 1 and 20")
-    cells = cell_centroids(geo).where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    # Written once: the steps below read the centroids several times, and parsing geometry is the dear part.
+    path = scratch_path(geo.sparkSession, "centroids")
+    cell_centroids(geo).write.parquet(path)
+    cells = geo.sparkSession.read.parquet(path).where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     ranked = cells.withColumn("r", F.row_number().over(Window.partitionBy("lon", "lat").orderBy("grid_id")))
     members = ranked.where(F.col("r") <= k + 1).drop("r")
     sites = members.groupBy("lon", "lat").agg(F.count("*").alias("n"))
 
-    # Members (at most k+1 a site) per bucket and level, and each site's finest well-filled level.
-    at_levels = sites.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(FINEST_LEVEL)))).withColumns(
+    # Each site's finest level whose own bucket holds k+1 members. Levels coarser than the
+    # extent of all sites would only repeat one bucket, so counting starts there.
+    span = F.greatest(F.max("lon") - F.min("lon"), F.max("lat") - F.min("lat"))
+    start = F.when(span > 0, F.least(F.floor(F.log2(F.lit(ROOT_WIDTH) / span)).cast("int"), F.lit(FINEST_LEVEL)))
+    coarsest = sites.agg(F.coalesce(start, F.lit(0)).alias("level")).scalar()
+    at_levels = sites.withColumn("level", F.explode(F.sequence(coarsest, F.lit(FINEST_LEVEL)))).withColumns(
         {"bx": _bucket("lon", F.col("level")), "by": _bucket("lat", F.col("level"))}
     )
     filled = at_levels.groupBy("level", "bx", "by").agg(F.sum("n").alias("n")).where(F.col("n") >= k + 1)
@@ -65,6 +73,8 @@ def nearby_grids(geo: DataFrame, k: int = 5) -> DataFrame:
         F.col("lon").alias("lon0"),
         F.col("lat").alias("lat0"),
         F.greatest(F.coalesce("finest", F.lit(0)) - 1, F.lit(0)).alias("level"),
+        # No k-th neighbour is farther than this, rounding of the distance included.
+        (ROOT_WIDTH * 1.4143 / F.pow(F.lit(2.0), "finest") + 2e-5).alias("reach"),
         F.col("lon"),
         F.col("lat"),
     )
@@ -72,19 +82,27 @@ def nearby_grids(geo: DataFrame, k: int = 5) -> DataFrame:
     probes = searches.withColumn("o", F.explode(around)).select(
         "lon0",
         "lat0",
+        "reach",
         "level",
         (_bucket("lon", F.col("level")) + F.col("o.dx")).alias("bx"),
         (_bucket("lat", F.col("level")) + F.col("o.dy")).alias("by"),
     )
-    used_levels = F.sequence(F.lit(0), F.lit(FINEST_LEVEL - 1))
+    used_levels = searches.agg(F.collect_set("level").alias("levels")).scalar()  # 25 values at most
     candidates = members.withColumn("level", F.explode(used_levels)).withColumns(
         {"bx": _bucket("lon", F.col("level")), "by": _bucket("lat", F.col("level"))}
     )
-    pairs = probes.join(candidates, ["level", "bx", "by"]).select(
-        "lon0",
-        "lat0",
-        F.col("grid_id").alias("nearby_grid_id"),
-        degree_distance("lon0", "lat0", "lon", "lat").alias("distance_degrees"),
+    # The plain distance drops most candidates, so few are rounded and ranked.
+    dx, dy = F.col("lon0") - F.col("lon"), F.col("lat0") - F.col("lat")
+    near = F.col("reach").isNull() | (dx * dx + dy * dy <= F.col("reach") * F.col("reach"))
+    pairs = (
+        probes.join(candidates, ["level", "bx", "by"])
+        .where(near)
+        .select(
+            "lon0",
+            "lat0",
+            F.col("grid_id").alias("nearby_grid_id"),
+            degree_distance("lon0", "lat0", "lon", "lat").alias("distance_degrees"),
+        )
     )
     nearest = Window.partitionBy("lon0", "lat0").orderBy("distance_degrees", "nearby_grid_id")
     answers = pairs.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1)

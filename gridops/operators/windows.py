@@ -106,20 +106,26 @@ def previous_in_day(df: DataFrame) -> DataFrame:
 def leave_one_out_median(df: DataFrame) -> DataFrame:
     """Add ``baseline_activity``: median of the *other* rows of the same date and grid.
 
-    A (date, grid) group has at most 24 rows by grain. Every row carries the
-    group's sorted values, steps over its own rank and takes the middle of the rest.
+    Leaving one row out moves the median by at most one place, so three values
+    around the middle of the sorted group and the row's own rank decide it. No
+    group is ever collected; the windows stream over one sort of (date, grid, value).
     """
     group = Window.partitionBy("date", "grid_id")
-    values = F.array_sort(F.collect_list("total_activity").over(group))
+    value = F.col("total_activity")
     rank = F.row_number().over(group.orderBy(F.asc_nulls_last("total_activity")))
-    # With row r (1-based) left out, the i-th (0-based) of the rest is values[i] before r, values[i+1] from r on.
-    pick = lambda i: F.get(F.col("_values"), F.when(i < F.col("_rank") - 1, i).otherwise(i + 1))
-    rest = F.size("_values") - F.col("total_activity").isNotNull().cast("int")
-    low, high = F.floor((rest - 1) / 2).cast("int"), F.floor(rest / 2).cast("int")
-    median = F.when(rest > 0, (pick(low) + pick(high)) / 2)
-    return df.withColumns({"_values": values, "_rank": rank}).withColumn("baseline_activity", median).drop(
-        "_values", "_rank"
-    )
+    ranked = df.withColumns({"_rank": rank, "_n": F.count(value).over(group)})
+    n, r = F.col("_n"), F.when(value.isNotNull(), F.col("_rank"))
+    half = F.floor(n / 2)
+
+    def ranked_value(k) -> Column:
+        return F.max(F.when(F.col("_rank") == k, value)).over(group)
+
+    middle = ranked.withColumns({"_a": ranked_value(half), "_b": ranked_value(half + 1), "_c": ranked_value(half + 2)})
+    a, b, c = F.col("_a"), F.col("_b"), F.col("_c")
+    even = F.when(r <= half, b).when(r > half, a).otherwise((a + b) / 2)
+    odd = F.when(r <= half, (b + c) / 2).when(r == half + 1, (a + c) / 2).when(r > half + 1, (a + b) / 2).otherwise(b)
+    median = F.when(n % 2 == 0, even).otherwise(odd)
+    return middle.withColumn("baseline_activity", median).drop("_rank", "_n", "_a", "_b", "_c")
 
 
 def prior_median(hourly: DataFrame, rows: int = WINDOW_ROWS, at_least: int = 6) -> DataFrame:

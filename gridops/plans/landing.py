@@ -8,10 +8,13 @@ are overwritten, and files with an audit row are never read again.
 
 from __future__ import annotations
 
+from contextlib import ExitStack
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridops.functions.time import parse_timestamp
+from gridops.operators.layout import cached
 from gridops.schema import AUDIT_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
 from gridops.session import bounded_broadcast, path_exists
 from gridops.sinks.tables import append_audit
@@ -99,13 +102,16 @@ def _parsed(lines: DataFrame, headers: DataFrame) -> DataFrame:
     )
 
 
-def validate_minimum_quality(files: DataFrame, lines: DataFrame, strict: bool = False) -> DataFrame:
+def validate_minimum_quality(
+    files: DataFrame, lines: DataFrame, strict: bool = False, headers: DataFrame | None = None
+) -> DataFrame:
     """Per file, first failure of: zero rows, missing columns, bad timestamps, missing grid ids.
 
     ``strict`` also refuses text or negative values in the activity columns. The
     header line never parses as a timestamp, so one malformed line is expected.
+    ``headers`` takes the result of :func:`validate_schema`, if there is one already.
     """
-    headers = _headers(files, lines)
+    headers = _headers(files, lines) if headers is None else headers.select("filename", "header", "row_count")
     required = F.array(*[F.lit(c) for c in RAW_COLUMNS])
     complete = headers.where(F.size(F.array_except(required, F.col("header"))) == 0)
     data = parse_timestamp("datetime").isNotNull()
@@ -213,13 +219,14 @@ def ingest_landing(
     ``audit`` is an append-only Parquet table.
     """
     files = discover_files(spark, landing) if files is None else files
-    log = read_audit(spark, audit)
-    skipped = already_processed(files, log)
-    pending = files.join(skipped.select("file_name"), "file_name", "left_anti")
-    lines = landing_lines(spark, pending)
-    results = route_files(validate_schema(pending, lines), validate_minimum_quality(pending, lines), skipped)
-    results = results.persist()
-    try:
+    skipped = already_processed(files, read_audit(spark, audit))
+    with ExitStack() as kept_small:
+        # One row per file each, used by several steps below.
+        keep = lambda df: kept_small.enter_context(cached(df))
+        pending = keep(files.join(skipped.select("file_name"), "file_name", "left_anti"))
+        lines = landing_lines(spark, pending)
+        schema = keep(validate_schema(pending, lines))
+        results = keep(route_files(schema, validate_minimum_quality(pending, lines, headers=schema), skipped))
         valid = results.where(F.col("status") == "VALID")
         if not valid.isEmpty():
             rows = _parsed(lines, valid).where(parse_timestamp("datetime").isNotNull())
@@ -227,9 +234,7 @@ def ingest_landing(
             _write_by_file(rows.select(*typed, F.col("filename").alias("source_file")), raw)
         refused = results.where(F.col("status") == "REJECTED").select("filename", "reason")
         if not refused.isEmpty():
-            kept = lines.join(bounded_broadcast(refused), "filename")
-            _write_by_file(kept.select("value", "reason", F.col("filename").alias("source_file")), rejected)
+            lost = lines.join(bounded_broadcast(refused), "filename")
+            _write_by_file(lost.select("value", "reason", F.col("filename").alias("source_file")), rejected)
         log = append_audit(results, audit, processed_at)
-    finally:
-        results.unpersist()
     return log.where(F.col("processed_at") == processed_at).drop("processed_at")

@@ -53,7 +53,7 @@ def discover_files(
     found = files.where(direct & F.col("file_name").rlike(pattern))
     if require_match and found.isEmpty():
         raise FileNotFoundError(f"no file in {directory} matches {pattern}")
-    return found.withColumn("file_date", F.regexp_extract("file_name", pattern, 1).try_cast("date")).orderBy(
+    return found.withColumn("file_date", F.regexp_extract("file_name", r"\d{4}-\d{2}-\d{2}", 0).try_cast("date")).orderBy(
         "file_name"
     )
 
