@@ -168,7 +168,7 @@ def truncate_reload(t: Tables):
     path = scratch_path(t.spark, "reload")
     text = F.when(F.col("grid_id") != 3, F.col("timestamp").cast("string")).otherwise("not a time")
     rows = t.alerts.select("grid_id", text.alias("timestamp"), "alert_type")
-    tab.truncate_reload(rows.limit(5), path)
+    tab.truncate_reload(rows.unionByName(rows), path)
     return tab.truncate_reload(rows, path)
 
 
@@ -215,7 +215,7 @@ def route_files(t: Tables):
     _, found = _landing(t)
     lines = landing.landing_lines(t.spark, found)
     routed = landing.route_files(
-        landing.validate_schema(found, lines), landing.validate_minimum_quality(found, lines), found.limit(0)
+        landing.validate_schema(found, lines), landing.validate_minimum_quality(found, lines), found.where("false")
     )
     return _by_status(routed)
 

@@ -151,7 +151,7 @@ def history_summary(t: Tables):
     "ORDER BY current_activity DESC, grid_id, alert_type LIMIT 25) GROUP BY grid_id) m ON g.grid_id = m.grid_id",
 )
 def alert_history_summary(t: Tables):
-    rows = a.alert_history_summary(t.alerts, t.hourly)
+    rows = serve.alert_history_summary(t.alerts, t.hourly)
     return rows.withColumn("matching_alert_types", F.array_join("matching_alert_types", "|"))
 
 
@@ -293,7 +293,7 @@ def _merge_parts(t: Tables):
     shape = lambda df: df.select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice", "o_orderpriority")
     finished, others = shape(orders.where("o_orderstatus = 'F'")), shape(orders.where("o_orderstatus <> 'F'"))
     keys = ["o_custkey", "day"]
-    return sink.insert_ignore(finished.limit(0), finished, keys, ["o_totalprice"]), others, keys
+    return sink.insert_ignore(finished.where("false"), finished, keys, ["o_totalprice"]), others, keys
 
 
 _NEW = "(SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus <> 'F')"

@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 from checks.adapter import Tables, rounded
 from checks.registry import query
 from gridops.functions import scoring as sc
+from gridops.ml.labels import label_relative
 from gridops.operators import aggregate as a
-from gridops.operators import asof, joins, nearby, rules
+from gridops.operators import asof, joins, nearby, ranking, rules
 from gridops.plans import serve
+from gridops.sinks.tables import build_dim_time, build_fact
 
 
 @query(
@@ -158,9 +160,7 @@ def join_risk_anomaly(t: Tables):
     "ORDER BY risk_score DESC, abs(anomaly_score) DESC, grid_id, timestamp LIMIT 20",
 )
 def top_attention(t: Tables):
-    from gridops.operators.ranking import top_attention as top
-
-    return top(rounded(joins.join_risk_anomaly(_plain_scores(t), t.anomalies), ["anomaly_score"], 6))
+    return ranking.top_attention(rounded(joins.join_risk_anomaly(_plain_scores(t), t.anomalies), ["anomaly_score"], 6))
 
 
 @query(
@@ -173,8 +173,6 @@ def top_attention(t: Tables):
     "LEFT JOIN (SELECT DISTINCT grid_id, timestamp, 1 AS flag FROM alerts) x ON n.grid_id = x.grid_id AND n.timestamp = x.timestamp",
 )
 def compare_detectors(t: Tables):
-    from gridops.ml.labels import label_relative
-
     guesses = label_relative(t.hourly).select("grid_id", "timestamp", F.col("target").cast("double").alias("prediction"))
     flags = t.anomalies.select("grid_id", "timestamp", "anomaly_flag")
     return joins.compare_detectors(flags, guesses, t.alerts)
@@ -186,8 +184,6 @@ def compare_detectors(t: Tables):
     "AS orphan_rows FROM fact UNION ALL SELECT 'time_key', count(*) FILTER (WHERE time_key NOT IN (SELECT time_key FROM dim_time)) FROM fact",
 )
 def check_foreign_keys(t: Tables):
-    from gridops.sinks.tables import build_dim_time, build_fact
-
     dims = {"grid_id": t.geo.where(F.col("geometry").isNotNull()), "time_key": build_dim_time(t.hourly)}
     return joins.check_foreign_keys(build_fact(t.hourly), dims)
 
@@ -198,8 +194,6 @@ def check_foreign_keys(t: Tables):
     "ON f.time_key = d.time_key",
 )
 def star_join(t: Tables):
-    from gridops.sinks.tables import build_dim_time, build_fact
-
     rows = joins.star_join(build_fact(t.hourly), build_dim_time(t.hourly))
     return rounded(rows, ["total_activity"]).select("grid_id", "timestamp", "hour", "day", "total_activity")
 

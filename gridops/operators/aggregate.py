@@ -147,26 +147,3 @@ def history_summary(hourly: DataFrame, as_of=None) -> DataFrame:
         F.round(F.avg(value), 2).alias("avg_total_activity"),
         F.when(last > first, "rising").when(F.max(stamp).isNotNull(), "falling_or_flat").alias("trend_hint"),
     )
-
-
-def alert_history_summary(alerts: DataFrame, grids: DataFrame, as_of=None, k: int = 25) -> DataFrame:
-    """Per grid of ``grids``: what the newest ``k`` ranked alerts say about it."""
-    from gridops.operators.ranking import rank_alerts
-
-    top = rank_alerts(alerts, k, as_of=as_of)
-    checked = top.agg(F.count("*").alias("n")).scalar()
-    per_grid = top.groupBy("grid_id").agg(
-        F.count("*").alias("matching_grid_alerts"),
-        F.array_sort(F.collect_set("severity")).alias("matching_alert_types"),
-    )
-    return (
-        grids.select("grid_id")
-        .distinct()
-        .join(per_grid, "grid_id", "left")
-        .select(
-            "grid_id",
-            checked.alias("alerts_checked"),
-            F.coalesce("matching_grid_alerts", F.lit(0)).alias("matching_grid_alerts"),
-            F.coalesce("matching_alert_types", F.array().cast("array<string>")).alias("matching_alert_types"),
-        )
-    )

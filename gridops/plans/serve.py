@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridops.operators.clean import latest
+from gridops.operators.ranking import rank_alerts
 from gridops.schema import FEATURES
 
 
@@ -37,6 +38,27 @@ def network_summary(hourly: DataFrame, as_of=None) -> DataFrame:
     return summary.where(F.col("total_activity").isNotNull()).withColumn("as_of", end)
 
 
+def alert_history_summary(alerts: DataFrame, grids: DataFrame, as_of=None, k: int = 25) -> DataFrame:
+    """Per grid of ``grids``: what the newest ``k`` ranked alerts say about it."""
+    top = rank_alerts(alerts, k, as_of=as_of)
+    checked = top.agg(F.count("*").alias("n")).scalar()
+    per_grid = top.groupBy("grid_id").agg(
+        F.count("*").alias("matching_grid_alerts"),
+        F.array_sort(F.collect_set("severity")).alias("matching_alert_types"),
+    )
+    return (
+        grids.select("grid_id")
+        .distinct()
+        .join(per_grid, "grid_id", "left")
+        .select(
+            "grid_id",
+            checked.alias("alerts_checked"),
+            F.coalesce("matching_grid_alerts", F.lit(0)).alias("matching_grid_alerts"),
+            F.coalesce("matching_alert_types", F.array().cast("array<string>")).alias("matching_alert_types"),
+        )
+    )
+
+
 def evidence_parts(grids: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
     """One row per grid with each part as a struct, NULL where the part has no row.
 
