@@ -15,10 +15,14 @@ def label_threshold(hourly: DataFrame, threshold: float = LABEL_THRESHOLD) -> Da
     return rows.withColumn("target", (F.col("future_activity") > threshold).cast("int"))
 
 
-def label_percentile(hourly: DataFrame, train_until, q: float = 0.9) -> DataFrame:
-    """Target = next hour above the ``q`` quantile of activity up to ``train_until`` only."""
+def label_percentile(hourly: DataFrame, train_until, q: float = 0.9, accuracy: int = 1_000_000) -> DataFrame:
+    """Target = next hour above the ``q`` quantile of activity up to ``train_until`` only.
+
+    One quantile over all rows calls for a mergeable sketch: its rank is off by at
+    most rows / ``accuracy``, and its size is bounded by ``accuracy``.
+    """
     end = F.lit(train_until).cast("timestamp_ntz") if isinstance(train_until, str) else train_until
-    cut = hourly.where(F.col("timestamp") <= end).agg(F.percentile_approx("total_activity", q).alias("cut")).scalar()
+    cut = hourly.where(F.col("timestamp") <= end).agg(F.percentile_approx("total_activity", q, accuracy).alias("cut")).scalar()
     rows = lead_activity(hourly).where(F.col("future_activity").isNotNull())
     return rows.withColumn("target", (F.col("future_activity") > cut).cast("int"))
 

@@ -85,9 +85,9 @@ def busiest_grid(hourly: DataFrame, as_of=None) -> DataFrame:
 def baseline_median(df: DataFrame, keys: list[str], column: str = "total_activity", exact: bool = False) -> DataFrame:
     """Discrete median per group over all history; the result is a value that occurs.
 
-    ``percentile_approx`` merges bounded sketches; it is exact for groups smaller
-    than its accuracy (10,000) and within 1/10,000 in rank above. ``exact`` ranks
-    value counts instead.
+    ``percentile_approx`` merges bounded sketches and is off by at most a
+    10,000th of the group in rank, which is nothing for the days of one hour and
+    grid. ``exact`` ranks value counts instead, for groups of any size.
     """
     if not exact:
         return df.groupBy(*keys).agg(F.percentile_approx(column, 0.5).alias("baseline_activity"))

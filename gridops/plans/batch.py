@@ -31,10 +31,11 @@ def run_batch(
     discover_files(spark, source, pattern, require_match=True)
 
     raw = c.coerce_types(c.rename_columns(read_activity_csv(spark, source)))
-    raw.withColumn("rejected", c.is_rejected()).write.mode("overwrite").partitionBy("rejected").parquet(paths["typed"])
+    verdict = F.when(c.is_rejected(), "rejected").otherwise("kept")
+    raw.withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict").parquet(paths["typed"])
     typed = spark.read.parquet(paths["typed"])
 
-    good = typed.where(~F.col("rejected")).drop("rejected")
+    good = typed.where(F.col("verdict") == "kept").drop("verdict")
     write_partitioned(c.derive_calendar(c.derive_totals(c.impute_zero(good))), paths["clean"])
     write_parquet(hourly_grid_summary(spark.read.parquet(paths["clean"])), paths["hourly_grid_summary"])
 
