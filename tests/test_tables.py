@@ -1,4 +1,3 @@
-import pytest
 from helpers import at, hourly, rows
 from pyspark.sql import functions as F
 
