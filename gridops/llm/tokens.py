@@ -96,7 +96,7 @@ def _store(path: str) -> UnitStore:
         found = [e.ids for e in tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
         return words, np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.uint32, len(found))
 
-    return UnitStore(encode)
+    return UnitStore(encode, limit=1_000_000)  # about 200 bytes each
 
 
 _LETTER, _MARK, _LOWER = np.zeros(256, bool), np.zeros(256, bool), np.arange(256, dtype=np.uint8)
@@ -171,7 +171,7 @@ def write_token_blocks(
             fields = ["part", "block", "n_docs", "n_tokens", "payload"]
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], fields)
 
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             ids, offsets = token_ids(tokenizer_path, batch["text"], end_id)
             names = batch["doc_id"].fill_null(NULL_ID).to_numpy(zero_copy_only=False)
             held.append((names, ids, np.diff(offsets)))
