@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridops.llm.common import stage
+
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -42,8 +44,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = _rows(docs, id_col, text_col)
     # Only ids and digests go back; repeated rows travel as a count.
-    copies = rows.groupBy("digest", "doc_id").agg(F.count("*").alias("copies"))
-    joined = copies.join(text_classes(rows, salts), "digest")
+    copies = stage(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("copies")), "copies")
+    # Between two written tables the join splits the ids of a text that many documents have.
+    joined = copies.join(stage(text_classes(rows, salts), "classes"), "digest")
     each = joined.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
     return each.select(
         "doc_id",
