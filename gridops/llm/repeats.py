@@ -243,7 +243,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     """
     places = stage(_occurrences(rows, length, gram), "fragments")
     shared = places.groupBy("anchor").agg(F.count("*").alias("m"), F.min("body").alias("low"), F.max("body").alias("high")).where(F.col("m") > 1)
-    busy = stage(places.join(shared.select("anchor", (F.col("low") == F.col("high")).alias("uniform")), "anchor"), "shared")
+    # Written first, so that the join meets two plain shuffles and Spark can split a frequent anchor.
+    shared = stage(shared.select("anchor", (F.col("low") == F.col("high")).alias("uniform")), "anchors")
+    busy = stage(places.join(shared, "anchor"), "shared")
     mixed = busy.where(~F.col("uniform"))
     # rid, size and at are non-null, so the firsts are of one row.
     kinds = mixed.groupBy("anchor", "body").agg(
