@@ -94,6 +94,16 @@ def reject_negative(t: Tables):
     return c.reject_negative(t.kept)
 
 
+@query("reject_negative_count", f"SELECT count(*) AS rows FROM raw_activity WHERE {NEGATIVE}")
+def reject_negative_count(t: Tables):
+    """Over rows that hold negative values: the number that the error names."""
+    try:
+        c.reject_negative(t.raw)
+    except ValueError as error:
+        return t.spark.createDataFrame([(int(str(error).split()[0]),)], "rows bigint")
+    return t.spark.createDataFrame([(0,)], "rows bigint")
+
+
 @query("drop_null_keys", f"SELECT {_RAW} FROM raw_activity WHERE grid_id IS NOT NULL AND timestamp IS NOT NULL")
 def drop_null_keys(t: Tables):
     return c.drop_null_keys(t.raw)
@@ -298,10 +308,10 @@ def cadence_gaps(t: Tables):
     "timestamp_gaps",
     "SELECT timestamp, previous, CAST(epoch(timestamp) - epoch(previous) AS BIGINT) AS gap_seconds FROM "
     "(SELECT timestamp, lag(timestamp) OVER (ORDER BY timestamp) AS previous FROM "
-    "(SELECT DISTINCT timestamp FROM raw_activity WHERE timestamp IS NOT NULL AND grid_id IS NOT NULL))",
+    "(SELECT DISTINCT timestamp FROM raw_activity WHERE timestamp IS NOT NULL))",
 )
 def timestamp_gaps(t: Tables):
-    return p.timestamp_gaps(t.raw.where(F.col("grid_id").isNotNull()))
+    return p.timestamp_gaps(t.raw)
 
 
 @query(

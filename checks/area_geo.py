@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.adapter import Tables, rounded
 from checks.registry import query
+from gridops.functions.scoring import status_label
 from gridops.functions import geo as g
 from gridops.operators import joins, nearby
 from gridops.operators import ranking as r
@@ -131,6 +132,7 @@ def nearby_grids(t: Tables):
     "(SELECT max(timestamp) FROM alerts WHERE alert_type = 'High Activity')) w ON geo.grid_id = w.grid_id",
 )
 def map_status(t: Tables):
-    hot = r.hotspots(t.hourly, k=100)
     high = t.alerts.where(F.col("alert_type") == "High Activity")
-    return joins.map_status(t.geo, r.watchlist(hot, r.rank_alerts(high, 100), 200))
+    rows = r.hotspots(t.hourly, k=None).unionByName(r.rank_alerts(high, k=None), allowMissingColumns=True)
+    place = F.struct(-F.col("total_activity"), F.col("status"))
+    return joins.map_status(t.geo, rows.select("grid_id", status_label("status").alias("status"), place.alias("position")))

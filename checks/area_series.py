@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.adapter import Tables, rounded
 from checks.registry import query
+from gridops.schema import FEATURES
 from gridops.functions import time as tf
 from gridops.operators import asof, windows
 
@@ -53,14 +54,17 @@ def build_features(t: Tables):
     "build_features_time",
     "SELECT grid_id, timestamp AS feature_timestamp, round(avg(total_activity) OVER w, 6) AS avg_activity, "
     "CAST(sum(CASE WHEN total_activity > 0 THEN 1 ELSE 0 END) OVER w AS BIGINT) AS active_hours, "
-    "round(stddev_samp(total_activity) OVER w, 6) AS variability FROM hourly WINDOW w AS (PARTITION BY grid_id "
-    "ORDER BY timestamp RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW)",
+    "round(stddev_samp(total_activity) OVER w, 6) AS variability, "
+    "round(CASE WHEN avg(total_activity) OVER w > 0 THEN max(total_activity) OVER w / avg(total_activity) OVER w ELSE 0 END, 6) "
+    "AS peak_ratio, round(CASE WHEN sum(total_activity) OVER w > 0 THEN sum(internet) OVER w / sum(total_activity) OVER w ELSE 0 END, 6) "
+    "AS internet_share, round(CASE WHEN sum(total_activity) OVER e > 0 THEN "
+    "(sum(total_activity) OVER w - sum(total_activity) OVER e) / sum(total_activity) OVER e ELSE 0 END, 6) AS activity_growth "
+    "FROM hourly WINDOW w AS (PARTITION BY grid_id ORDER BY timestamp RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW), "
+    "e AS (PARTITION BY grid_id ORDER BY timestamp RANGE BETWEEN INTERVAL 47 HOUR PRECEDING AND INTERVAL 24 HOUR PRECEDING)",
 )
 def build_features_time(t: Tables):
     rows = windows.build_features(t.hourly, frame="time", min_rows=1)
-    return rounded(rows, ["avg_activity", "variability"], 6).select(
-        "grid_id", "feature_timestamp", "avg_activity", "active_hours", "variability"
-    )
+    return rounded(rows, [f for f in FEATURES if f != "active_hours"], 6)
 
 
 @query(

@@ -61,7 +61,7 @@ RATIO = "CASE WHEN {b} <> 0 THEN printf('%.2f', {c} / {b}) WHEN {c} = 0 THEN 'na
 BLOCKS: dict[str, str] = {
     "raw_activity": (
         "SELECT CASE WHEN event_id % 223 = 0 THEN NULL ELSE date_trunc('hour', ts) END AS timestamp, "
-        "CASE WHEN event_id % 211 = 0 THEN NULL ELSE CAST(user_id % 20 + 1 AS INTEGER) END AS grid_id, "
+        "CASE WHEN event_id % 211 = 0 THEN NULL ELSE CAST(user_id + 1 AS INTEGER) END AS grid_id, "
         "CAST(CASE WHEN event_id % 10 < 7 THEN 39 ELSE event_id % 5 END AS INTEGER) AS country_code, "
         + ", ".join(_CHANNEL.format(kind=k, name=n) for n, k in _CHANNELS.items())
         + " FROM events"
@@ -170,7 +170,7 @@ BLOCKS: dict[str, str] = {
         "FROM hourly) n ON f.grid_id = n.grid_id AND f.feature_timestamp = n.timestamp WHERE n.future_activity IS NOT NULL"
     ),
     "probes": (
-        "SELECT DISTINCT CAST(user_id % 25 AS INTEGER) AS grid_id, date_trunc('minute', ts) AS probe_timestamp FROM events"
+        "SELECT DISTINCT CAST(user_id + 1 + CASE WHEN event_id % 40 = 0 THEN 1000000 ELSE 0 END AS INTEGER) AS grid_id, date_trunc('minute', ts) AS probe_timestamp FROM events"
     ),
     "latest_alerts": (
         "SELECT * FROM alerts WHERE timestamp = (SELECT max(timestamp) FROM alerts)"

@@ -121,12 +121,12 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def reject_negative(df: DataFrame) -> DataFrame:
-    """Strict mode: ``df`` itself, or ValueError with the number of negative values."""
+    """Strict mode: ``df`` itself, or ValueError with the number of rows that hold one."""
     columns = ["grid_id", "country_code", *CHANNELS]
-    counts = [F.count_if(F.col(c) < 0) for c in columns]
-    total = df.agg(reduce(lambda a, b: a + b, counts).alias("n")).first()["n"]
+    any_negative = reduce(lambda a, b: a | b, (F.coalesce(F.col(c) < 0, F.lit(False)) for c in columns))
+    total = df.agg(F.count_if(any_negative).alias("n")).first()["n"]
     if total:
-        raise ValueError(f"{total} negative values")
+        raise ValueError(f"{total} rows with negative values")
     return df
 
 

@@ -35,15 +35,13 @@ def cache_timings(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(runs, "run string, rows bigint, seconds double")
 
 
-def repartition_by_date(df: DataFrame, spread: int = 16, partitions: int | None = None) -> DataFrame:
-    """Hash repartition by date, each date over up to ``spread`` tasks.
+def repartition_by_date(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rows of a date together, in tasks of even size.
 
-    The extra key is a hash of the row, so a date that holds most of the rows is
-    split rather than given to one task.
+    ``rebalance`` lets AQE give a date that holds most of the rows as many tasks as
+    its size asks for, equal rows included, and merge small dates.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    keys = [F.col("date"), salt]
-    return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+    return df.hint("rebalance", partitions, "date") if partitions else df.hint("rebalance", "date")
 
 
 def partition_sizes(df: DataFrame) -> DataFrame:

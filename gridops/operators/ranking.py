@@ -38,13 +38,13 @@ def top_grids_geo(hourly: DataFrame, geo: DataFrame, k: int = 10) -> DataFrame:
     return enrich_geometry(top_grids(hourly, k), geo)
 
 
-def hotspots(hourly: DataFrame, as_of=None, k: int = 10) -> DataFrame:
-    """The k most active grids at exactly ``as_of`` (default: the newest hour)."""
-    if k < 1:
+def hotspots(hourly: DataFrame, as_of=None, k: int | None = 10) -> DataFrame:
+    """The k most active grids at exactly ``as_of`` (default: the newest hour); all, unordered, if k is None."""
+    if k is not None and k < 1:
         raise ValueError("k must be at least 1")
     rows = hourly.where(F.col("timestamp") == latest(hourly, as_of))
     rows = rows.select("grid_id", "timestamp", *CHANNELS, "total_activity", F.lit(HIGH_ACTIVITY).alias("status"))
-    return rows.orderBy(_by("total_activity"), "grid_id").limit(k)
+    return rows if k is None else rows.orderBy(_by("total_activity"), "grid_id").limit(k)
 
 
 def hotspots_each_hour(hourly: DataFrame, k: int = 10) -> DataFrame:
@@ -54,22 +54,20 @@ def hotspots_each_hour(hourly: DataFrame, k: int = 10) -> DataFrame:
     return ranked.where(F.col("position") <= k)
 
 
-def rank_alerts(alerts: DataFrame, k: int = 10, as_of=None, severity: str | None = None) -> DataFrame:
-    """The k strongest alerts of one time; channels are reported as 0.0."""
+def rank_alerts(alerts: DataFrame, k: int | None = 10, as_of=None, severity: str | None = None) -> DataFrame:
+    """The k strongest alerts of one time; all, unordered, if k is None. Channels are reported as 0.0."""
     zeros = [F.lit(0.0).alias(c) for c in CHANNELS]
-    return (
-        filter_alerts(alerts, as_of, severity)
-        .orderBy(F.desc("current_activity"), "grid_id", "alert_type")
-        .limit(k)
-        .select(
-            "grid_id",
-            "timestamp",
-            *zeros,
-            F.col("current_activity").alias("total_activity"),
-            F.col("alert_type").alias("status"),
-            F.col("alert_type").alias("severity"),
-            "reason",
-        )
+    rows = filter_alerts(alerts, as_of, severity)
+    if k is not None:
+        rows = rows.orderBy(F.desc("current_activity"), "grid_id", "alert_type").limit(k)
+    return rows.select(
+        "grid_id",
+        "timestamp",
+        *zeros,
+        F.col("current_activity").alias("total_activity"),
+        F.col("alert_type").alias("status"),
+        F.col("alert_type").alias("severity"),
+        "reason",
     )
 
 

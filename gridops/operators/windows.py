@@ -58,9 +58,15 @@ def trailing_internet_share(w: WindowSpec) -> Column:
     return F.when(total > 0, F.sum("internet").over(w) / total).otherwise(0.0)
 
 
-def activity_growth(recent: str = "recent_activity", lag: int = WINDOW_ROWS) -> Column:
-    """Trailing sum against the trailing sum ``lag`` rows earlier; 0 without a positive one."""
-    earlier = F.lag(recent, lag).over(series())
+def day_before(size: int = WINDOW_ROWS) -> WindowSpec:
+    """The 24 hours before the last 24 hours."""
+    by_clock = Window.partitionBy("grid_id").orderBy(epoch_seconds("timestamp"))
+    return by_clock.rangeBetween(-(2 * size - 1) * 3600, -size * 3600)
+
+
+def activity_growth(recent: str = "recent_activity", lag: int = WINDOW_ROWS, frame: str = "rows") -> Column:
+    """Trailing sum against the one ``lag`` rows, or in a ``time`` frame hours, earlier; 0 without a positive one."""
+    earlier = F.sum("total_activity").over(day_before(lag)) if frame == "time" else F.lag(recent, lag).over(series())
     return F.when(earlier > 0, (F.col(recent) - earlier) / earlier).otherwise(0.0)
 
 
@@ -83,7 +89,7 @@ def trailing_stats(hourly: DataFrame, frame: str = "rows") -> DataFrame:
             "recent_activity": F.sum("total_activity").over(w),
         }
     )
-    return stats.withColumn("activity_growth", activity_growth())
+    return stats.withColumn("activity_growth", activity_growth(frame=frame))
 
 
 def build_features(hourly: DataFrame, frame: str = "rows", min_rows: int = MIN_HISTORY_ROWS) -> DataFrame:

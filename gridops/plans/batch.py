@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridops.operators import clean as c
 from gridops.operators.aggregate import hourly_grid_summary
 from gridops.operators.joins import enrich_geometry, missing_geometry
 from gridops.operators.profile import cleaning_report
 from gridops.operators.ranking import top_grids
-from gridops.schema import FILE_PATTERN
+from gridops.schema import FILE_PATTERN, ID_COLUMNS, RAW_SCHEMA, RENAMES
 from gridops.sinks.writers import write_csv, write_parquet, write_partitioned
 from gridops.sources.files import discover_files, read_activity_csv, read_geojson_lookup
 
@@ -28,9 +29,14 @@ def run_batch(
     root = output.rstrip("/")
     names = ("typed", "clean", "hourly_grid_summary", "dashboard", "enriched")
     paths = {name: f"{root}/{name}" for name in names}
-    discover_files(spark, source, pattern, require_match=True)
-
-    raw = c.coerce_types(c.rename_columns(read_activity_csv(spark, source)))
+    # One path per daily file; what does not match the pattern is not read.
+    files = [row["path"] for row in discover_files(spark, source, pattern, require_match=True).toLocalIterator()]
+
+    # Ids read as numbers, so that 5.0 is grid 5 and not a rejected row.
+    wide = T.StructType([T.StructField(f.name, T.DoubleType() if f.name in ID_COLUMNS else f.dataType) for f in RAW_SCHEMA])
+    raw = c.coerce_types(c.rename_columns(read_activity_csv(spark, files, wide)))
+    whole = lambda c: F.when(F.col(c) == F.floor(c), F.col(c).try_cast("int"))
+    raw = raw.withColumns({RENAMES[c]: whole(RENAMES[c]) for c in ID_COLUMNS})
     verdict = F.when(c.is_rejected(), "rejected").otherwise("kept")
     raw.withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict").parquet(paths["typed"])
     typed = spark.read.parquet(paths["typed"])

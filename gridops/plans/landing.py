@@ -12,10 +12,11 @@ from contextlib import ExitStack
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridops.functions.time import parse_timestamp
 from gridops.operators.layout import cached
-from gridops.schema import AUDIT_SCHEMA, RAW_COLUMNS, RAW_SCHEMA
+from gridops.schema import AUDIT_SCHEMA, ID_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
 from gridops.session import bounded_broadcast, path_exists
 from gridops.sinks.tables import append_audit
 from gridops.sources.files import discover_files
@@ -27,6 +28,7 @@ SCHEMA_PASSED = "SCHEMA_VALIDATION_PASSED"
 QUALITY_FAILED = "MINIMUM_QUALITY_FAILED: "
 QUALITY_PASSED = "MINIMUM_QUALITY_PASSED"
 BOTH_PASSED = "SCHEMA_AND_QUALITY_VALIDATION_PASSED"
+AS_TEXT = "; non-numeric values stored as NULL: "
 ALREADY = "ALREADY_PROCESSED: file already exists in raw or rejected zone"
 
 
@@ -116,6 +118,10 @@ def validate_minimum_quality(
     complete = headers.where(F.size(F.array_except(required, F.col("header"))) == 0)
     data = parse_timestamp("datetime").isNotNull()
     channels = RAW_COLUMNS[3:]
+    # Stored ids are whole numbers; a file with any other is refused.
+    ids = [F.col(c) for c in ID_COLUMNS]
+    bad_ids = [F.count_if(data & i.isNotNull() & stored_integer(i).isNull()) for i in ids]
+    as_text = [F.count_if(data & F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()) for c in channels]
     strict_counts = []
     for c in channels:
         number = F.col(c).try_cast("double")
@@ -128,6 +134,8 @@ def validate_minimum_quality(
             (F.count_if(~data) - 1).alias("bad_timestamps"),
             F.count_if(F.col("CellID").isNull()).alias("null_grids"),
             F.count_if(F.col("extra").isNotNull()).alias("long_rows"),
+            sum(bad_ids[1:], bad_ids[0]).alias("bad_ids"),
+            sum(as_text[1:], as_text[0]).alias("as_text"),
             *(strict_counts if strict else []),
         )
     )
@@ -146,17 +154,21 @@ def validate_minimum_quality(
         )
         .when(F.col("bad_timestamps") > 0, say("malformed timestamp values found: ", "bad_timestamps"))
         .when(F.col("null_grids") > 0, say("NULL grid_id values found: ", "null_grids"))
+        .when(F.col("bad_ids") > 0, say("identifiers that are not whole numbers found: ", "bad_ids"))
     )
     for c in channels if strict else []:
         failure = failure.when(F.col(f"text_{c}") > 0, say(f"non-numeric values found in {c}: ", f"text_{c}"))
         failure = failure.when(F.col(f"negative_{c}") > 0, say(f"negative activity values found in {c}: ", f"negative_{c}"))
+    passed = F.when(
+        F.col("as_text") > 0, F.concat(F.lit(QUALITY_PASSED + AS_TEXT), F.col("as_text").cast("string"))
+    ).otherwise(QUALITY_PASSED)
     return (
         headers.join(counts, "filename", "left")
         .withColumn("failure", failure)
         .select(
             "filename",
             F.col("failure").isNull().alias("is_valid"),
-            F.coalesce("failure", F.lit(QUALITY_PASSED)).alias("reason"),
+            F.coalesce("failure", passed).alias("reason"),
             "row_count",
             "header",
         )
@@ -184,7 +196,7 @@ def route_files(schema_results: DataFrame, quality_results: DataFrame, skipped:
         "filename",
         F.when(good, "VALID").otherwise("REJECTED").alias("status"),
         "row_count",
-        F.when(good, BOTH_PASSED).when(F.col("is_valid"), F.col("q_reason")).otherwise(F.col("reason")).alias("reason"),
+        F.when(good, F.replace("q_reason", F.lit(QUALITY_PASSED), F.lit(BOTH_PASSED))).when(F.col("is_valid"), F.col("q_reason")).otherwise(F.col("reason")).alias("reason"),
         "header",
     )
     again = skipped.select(
@@ -197,6 +209,16 @@ def route_files(schema_results: DataFrame, quality_results: DataFrame, skipped:
     return routed.unionByName(again)
 
 
+def stored_integer(text: Column) -> Column:
+    """Text as an integer: as it is, or written as a whole number with a fraction (``5.0``); else NULL."""
+    number = text.try_cast("double")
+    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
+
+
+def _stored(field: T.StructField) -> Column:
+    return stored_integer(F.col(field.name)) if field.name in ID_COLUMNS else F.col(field.name).try_cast(field.dataType)
+
+
 def _write_by_file(df: DataFrame, path: str) -> None:
     # Dynamic overwrite replaces only the partitions of the files in this run.
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -230,7 +252,7 @@ def ingest_landing(
         valid = results.where(F.col("status") == "VALID")
         if not valid.isEmpty():
             rows = _parsed(lines, valid).where(parse_timestamp("datetime").isNotNull())
-            typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields]
+            typed = [_stored(f).alias(f.name) for f in RAW_SCHEMA.fields]
             _write_by_file(rows.select(*typed, F.col("filename").alias("source_file")), raw)
         refused = results.where(F.col("status") == "REJECTED").select("filename", "reason")
         if not refused.isEmpty():

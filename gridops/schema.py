@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 # Names and limits that results depend on.
 RAW_COLUMNS = ["datetime", "CellID", "countrycode", "smsin", "smsout", "callin", "callout", "internet"]
+ID_COLUMNS = ["CellID", "countrycode"]
 RENAMES = {
     "datetime": "timestamp",
     "CellID": "grid_id",

@@ -10,7 +10,7 @@ from gridops.schema import FILE_PATTERN, RAW_SCHEMA
 from gridops.session import path_exists
 
 
-def read_activity_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_SCHEMA) -> DataFrame:
+def read_activity_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA) -> DataFrame:
     """Daily CSV files with a fixed schema.
 
     ``enforceSchema=false`` checks each header against the schema instead of
@@ -24,6 +24,12 @@ def read_activity_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as its file system spells it: with scheme, without ``.`` or doubled slashes."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(own).toString()
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file under ``path``: path, file_name, length, modificationTime. Content is not read.
 
@@ -46,10 +52,10 @@ def discover_files(
     spark: SparkSession, directory: str, pattern: str = FILE_PATTERN, require_match: bool = False
 ) -> DataFrame:
     """Files directly in ``directory`` whose whole name matches ``pattern``, sorted by name."""
-    files, root = list_files(spark, directory), directory.rstrip("/")
-    if not files.where(F.col("path").endswith(root)).isEmpty():
+    files, root = list_files(spark, directory), qualified(spark, directory)
+    if not files.where(F.col("path") == root).isEmpty():
         raise NotADirectoryError(directory)
-    direct = F.col("path").endswith(F.concat(F.lit(f"{root}/"), F.col("file_name")))
+    direct = F.col("path") == F.concat(F.lit(root.rstrip("/") + "/"), F.col("file_name"))
     found = files.where(direct & F.col("file_name").rlike(pattern))
     if require_match and found.isEmpty():
         raise FileNotFoundError(f"no file in {directory} matches {pattern}")

@@ -120,7 +120,7 @@ def test_gaps_cross_days(spark):
 
 
 def test_strict_checks_raise(spark):
-    with pytest.raises(ValueError, match="1 negative"):
+    with pytest.raises(ValueError, match="1 rows with negative"):
         c.reject_negative(sample(spark))
     with pytest.raises(ValueError, match="missing columns: \\['risk'\\]"):
         c.require_columns(sample(spark), ["grid_id", "risk"])

@@ -46,7 +46,7 @@ WANT = {
     name(7): ("REJECTED", 1, "MINIMUM_QUALITY_FAILED: NULL grid_id values found: 1"),
     name(8): ("REJECTED", 0, "CSV_READ_ERROR: no columns to parse from file"),
     name(9): ("REJECTED", 1, "CSV_READ_ERROR: rows with too many fields: 1"),
-    name(10): ("VALID", 1, "SCHEMA_AND_QUALITY_VALIDATION_PASSED"),
+    name(10): ("VALID", 1, "SCHEMA_AND_QUALITY_VALIDATION_PASSED; non-numeric values stored as NULL: 1"),
     name(11): ("VALID", 1, "SCHEMA_AND_QUALITY_VALIDATION_PASSED"),
 }
 
@@ -152,3 +152,31 @@ def test_batch_end_to_end(spark, fresh):
     assert top.count() == 10 and set(top.columns) == {"grid_id", "total_activity"}
     with pytest.raises(FileNotFoundError):
         run_batch(spark, str(fresh / "out"), str(fresh / "grid.geojson"), str(fresh / "out2"))
+
+
+def test_ids_are_stored_or_the_file_is_refused(spark, fresh):
+    landing = fresh / "landing"
+    landing.mkdir()
+    head = "datetime,CellID,countrycode,smsin,smsout,callin,callout,internet\n"
+    first, second = (f"sms-call-internet-mi-2013-11-0{d}.csv" for d in (1, 2))
+    (landing / first).write_text(head + "2013-11-01 00:00:00,5.0,39.0,1,1,1,1,x\n")
+    (landing / second).write_text(head + "2013-11-02 00:00:00,abc,39,1,1,1,1,1\n")
+    for spelled in (str(landing), f"file://{landing}", f"{landing}/."):
+        out = [str(fresh / f"{name}-{abs(hash(spelled))}") for name in ("raw", "rejected", "audit")]
+        got = {r["filename"]: (r["status"], r["reason"]) for r in ld.ingest_landing(spark, spelled, *out, "2024-01-01T00:00:00Z").collect()}
+        assert got[first] == ("VALID", "SCHEMA_AND_QUALITY_VALIDATION_PASSED; non-numeric values stored as NULL: 1")
+        assert got[second][0] == "REJECTED" and got[second][1].endswith("not whole numbers found: 1")
+        row = spark.read.parquet(out[0]).first()
+        assert (row["CellID"], row["countrycode"], row["internet"]) == (5, 39, None)
+
+
+def test_batch_reads_only_files_of_the_pattern(spark, fresh):
+    source = fresh / "source"
+    source.mkdir()
+    head = "datetime,CellID,countrycode,smsin,smsout,callin,callout,internet\n"
+    (source / "sms-call-internet-mi-2013-11-01.csv").write_text(head + "2013-11-01 00:00:00,5.0,39,1,1,1,1,1\n")
+    (source / "notes.csv").write_text(head + "2013-11-01 00:00:00,7,39,1,1,1,1,1\n")
+    geo = fresh / "geo.json"
+    geo.write_text('{"type":"FeatureCollection","features":[{"properties":{"cellId":5},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
+    counts = {r["stage"]: r["rows"] for r in run_batch(spark, str(source), str(geo), str(fresh / "out")).collect()}
+    assert (counts["read"], counts["rejected"], counts["clean"]) == (1, 0, 1)

@@ -102,9 +102,12 @@ def test_broadcast_only_inside_the_bounds(spark):
     assert "strategy=broadcast" not in plan and "BroadcastHashJoin" in hinted
 
 
-def test_repartition_splits_a_hot_date(spark):
-    df = spark.range(20_000).select(F.lit("2024-01-01").cast("date").alias("date"), "id")
-    assert partition_sizes(repartition_by_date(df, spread=16, partitions=8)).agg(F.max("rows")).first()[0] < 10_000
+def test_repartition_leaves_a_hot_date_to_aqe(spark):
+    from gridops.operators.layout import explain_plan
+
+    df = spark.range(20_000).select(F.expr("date_add(date'2024-01-01', int(id % 3))").alias("date"), "id")
+    assert "REBALANCE_PARTITIONS_BY_COL" in explain_plan(repartition_by_date(df))
+    assert partition_sizes(repartition_by_date(df)).agg(F.sum("rows")).first()[0] == 20_000
 
 
 def test_cache_is_released(spark):
