@@ -59,9 +59,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they are; one row per distinct text."""
+    # One key of digest and id: it parts a text that many documents have, and the rows
+    # that it brings together need no second shuffle to tell repeated ones.
+    key = lambda digest, doc_id: F.concat_ws(":", digest, doc_id.cast("string"))
     classes = text_classes(_rows(docs, id_col, text_col), salts)
-    win = classes.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
+    win = stage(classes.select(key(F.col("digest"), F.col("keep_id")).alias("__win")), "winners")
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    marked = docs.withColumn("__own", digest)
-    kept = marked.join(win, (marked["__own"] == win["__digest"]) & marked[id_col].eqNullSafe(win["__keep"]))
-    return kept.dropDuplicates(["__digest", "__keep"]).select(*docs.columns)
+    own = docs.withColumn("__own", key(digest, F.col(id_col)))
+    return own.join(win, own["__own"] == win["__win"]).dropDuplicates(["__own"]).select(*docs.columns)

@@ -166,10 +166,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows that share it are told apart by a hash of the text; of wholly repeated rows one stays.
     """
     text = F.col(text_col).cast("string")
-    key = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text"))
+    key = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("text"))
     members = stage(fingerprints(docs.select(key.alias("__key"), text.alias("__text")).select("__key.*", "__text")), "simhash")
     firsts = _classes(members, F.struct("last", "id", "text"), bucket_limit).select("first.*").distinct()
-    firsts = firsts.select(F.col("last").alias("__last"), F.col("id").alias("__id"), F.col("text").alias("__hash"))
-    own = docs.withColumns({"__own": F.xxhash64(text), "__null": F.col(id_col).isNull()})
-    same = (own["__own"] == firsts["__hash"]) & (own["__null"] == firsts["__last"]) & own[id_col].eqNullSafe(firsts["__id"])
-    return own.join(firsts, same).dropDuplicates(["__hash", "__last", "__id"]).select(*docs.columns)
+    firsts = stage(firsts.select(F.concat_ws(":", "text", F.col("id").cast("string")).alias("__first")), "firsts")
+    # One key, so that repeated rows meet without a second shuffle.
+    own = docs.withColumn("__own", F.concat_ws(":", F.coalesce(F.xxhash64(text), F.lit(0)), F.col(id_col).cast("string")))
+    return own.join(firsts, own["__own"] == firsts["__first"]).dropDuplicates(["__own"]).select(*docs.columns)
