@@ -144,6 +144,7 @@ def history_summary(hourly: DataFrame, as_of=None) -> DataFrame:
         F.max(stamp).alias("newest_historical_timestamp"),
         F.min(value).alias("min_total_activity"),
         F.max(value).alias("max_total_activity"),
-        F.round(F.avg(value), 2).alias("avg_total_activity"),
+        # Scaled first: a tie of the decimal text is not one of the binary value.
+        (F.round(F.avg(value) * 100) / 100).alias("avg_total_activity"),
         F.when(last > first, "rising").when(F.max(stamp).isNotNull(), "falling_or_flat").alias("trend_hint"),
     )
