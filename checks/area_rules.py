@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 from checks.adapter import Tables, rounded
 from checks.registry import query
 from gridops.functions import scoring as sc
+from gridops.ml import labels, models
 from gridops.ml.labels import label_relative
 from gridops.operators import aggregate as a
 from gridops.operators import asof, joins, nearby, ranking, rules
 from gridops.plans import serve
+from gridops.session import scratch_path
 from gridops.sinks.tables import build_dim_time, build_fact
+from gridops.sinks.writers import output_status, write_parquet
 
 
 @query(
@@ -198,44 +201,125 @@ def star_join(t: Tables):
     return rounded(rows, ["total_activity"]).select("grid_id", "timestamp", "hour", "day", "total_activity")
 
 
+#: Where each part of the evidence is read, and what the model score cannot be made without.
+_SOURCES = {
+    "current_grid_activity": "hourly",
+    "grid_features": "features",
+    "model_score": "predict_risk",
+    "anomaly_score": "alerts",
+    "grid_location": "geometry",
+    "nearby_hotspots": "nearby_grids",
+    "activity_history_summary": "hourly",
+}
+_NEEDS = {"model_score": "grid_features", "nearby_hotspots": "grid_location"}
+_HISTORY = ["activity_history_summary", "alert_history_summary", "prior_alerts"]
+
+
 def _evidence(t: Tables):
     newest = t.hourly.groupBy("grid_id").agg(F.max_by(F.struct("timestamp", "total_activity"), "timestamp").alias("r"))
+    cells = nearby.cell_centroids(t.geo)
+    current, hot = asof.features_as_of(t.features), ranking.hotspots(t.hourly)
+    model = models.train_tree(labels.split_chronological(joins.join_labels(t.features, labels.label_threshold(t.hourly), ["target"]))[0])
+    written = scratch_path(t.spark, "hourly")
+    write_parquet(t.hourly, written)
+    outputs = {"hourly_grid_summary": written, "network_risk_scores": scratch_path(t.spark, "missing")}
     return serve.evidence_parts(
-        nearby.cell_centroids(t.geo),
+        cells,
         {
             "current_grid_activity": newest.select("grid_id", "r.*"),
-            "grid_features": asof.features_as_of(t.features),
+            "grid_features": current,
+            "model_score": models.predict_risk(model, current),
             "anomaly_score": asof.anomaly_as_of(t.alerts),
             "grid_location": nearby.grid_location(t.geo).where(F.col("geometry").isNotNull()),
+            "nearby_hotspots": serve.nearby_hotspots(nearby.nearby_grids(t.geo), hot),
             "activity_history_summary": a.history_summary(t.hourly),
+            "alert_history_summary": serve.alert_history_summary(t.alerts, cells),
+        },
+        {
+            "network_summary": serve.network_summary(t.hourly),
+            "hotspots": hot,
+            "prior_alerts": ranking.rank_alerts(t.alerts, 25),
+            "pipeline_status": output_status(t.spark, outputs),
         },
     )
 
 
-@query(
-    "evidence_gaps",
-    "SELECT g.grid_id, concat_ws('|', CASE WHEN h.grid_id IS NULL THEN 'current_grid_activity' END, "
-    "CASE WHEN f.grid_id IS NULL THEN 'grid_features' END, CASE WHEN x.grid_id IS NULL THEN 'anomaly_score' END, "
-    "CASE WHEN g.geometry IS NULL THEN 'grid_location' END, "
-    "CASE WHEN w.grid_id IS NULL THEN 'activity_history_summary' END) AS gaps FROM geo g "
-    "LEFT JOIN (SELECT DISTINCT grid_id FROM hourly) h ON g.grid_id = h.grid_id "
-    "LEFT JOIN (SELECT DISTINCT grid_id FROM features) f ON g.grid_id = f.grid_id "
-    "LEFT JOIN (SELECT DISTINCT grid_id FROM alerts) x ON g.grid_id = x.grid_id "
+_KNOWN = (
+    "geo g LEFT JOIN (SELECT grid_id, max(timestamp) AS timestamp, arg_max(total_activity, timestamp) AS total_activity FROM hourly GROUP BY 1) h "
+    "ON g.grid_id = h.grid_id LEFT JOIN (SELECT grid_id, max(feature_timestamp) AS feature_timestamp FROM features GROUP BY 1) f "
+    "ON g.grid_id = f.grid_id LEFT JOIN (SELECT DISTINCT grid_id FROM alerts) x ON g.grid_id = x.grid_id "
     "LEFT JOIN (SELECT DISTINCT grid_id FROM hourly WHERE timestamp >= (SELECT max(timestamp) FROM hourly) - INTERVAL 23 HOUR) w "
-    "ON g.grid_id = w.grid_id",
+    "ON g.grid_id = w.grid_id"
+)
+_GAPS = (
+    "concat_ws('|', CASE WHEN h.grid_id IS NULL THEN 'current_grid_activity<hourly: no rows' END, "
+    "CASE WHEN f.grid_id IS NULL THEN 'grid_features<features: no rows|model_score<predict_risk: skipped, grid_features is missing' END, "
+    "CASE WHEN x.grid_id IS NULL THEN 'anomaly_score<alerts: no rows' END, "
+    "CASE WHEN g.geometry IS NULL THEN "
+    "'grid_location<geometry: no rows|nearby_hotspots<nearby_grids: skipped, grid_location is missing' END, "
+    "CASE WHEN w.grid_id IS NULL THEN 'activity_history_summary<hourly: no rows' END)"
+)
+_NEAREST = (
+    "(SELECT grid_id, arg_min(other, (d, other)) AS nearest FROM (SELECT a.grid_id, b.grid_id AS other, "
+    "round(sqrt((a.lon - b.lon) * (a.lon - b.lon) + (a.lat - b.lat) * (a.lat - b.lat)), 5) AS d "
+    "FROM centroids a JOIN centroids b ON a.grid_id <> b.grid_id WHERE a.lon IS NOT NULL AND b.lon IS NOT NULL) GROUP BY grid_id)"
 )
+
+
+def _told(gaps):
+    """Gap records as one text."""
+    return F.array_join(F.transform(gaps, lambda g: F.concat(g["evidence"], F.lit("<"), g["source"], F.lit(": "), g["gap"])), "|")
+
+
+@query("evidence_gaps", f"SELECT g.grid_id, {_GAPS} AS gaps FROM {_KNOWN}")
 def evidence_gaps(t: Tables):
-    return serve.evidence_gaps(_evidence(t)).select("grid_id", F.array_join("gaps", "|").alias("gaps"))
+    return serve.evidence_gaps(_evidence(t), _SOURCES, _NEEDS).select("grid_id", _told(F.col("gaps")).alias("gaps"))
+
+
+def _fields(root: str, history: str) -> dict[str, tuple[str, str]]:
+    """Figures that are read back from a package: path in the JSON text and type."""
+    return {
+        "activity": (f"{root}.current_grid_activity.total_activity", "double"),
+        "features_at": (f"{root}.grid_features.feature_timestamp", "timestamp_ntz"),
+        "scored_at": (f"{root}.model_score.feature_timestamp", "timestamp_ntz"),
+        "nearest": (f"{root}.nearby_hotspots.nearby_cells[0].nearby_grid_id", "int"),
+        "top_grid": (f"{root}.network_summary[0].top_grid", "int"),
+        "hottest": (f"{root}.hotspots[0].grid_id", "int"),
+        "missing_output": (f"{root}.pipeline_status[1].output", "string"),
+        "alerts_checked": (f"{history}.alert_history_summary.alerts_checked", "bigint"),
+        "alerts_here": (f"{history}.alert_history_summary.matching_grid_alerts", "bigint"),
+        "newest_alert_grid": (f"{history}.prior_alerts[0].grid_id", "int"),
+    }
+
+
+_READ_BACK = (
+    "SELECT g.grid_id, h.total_activity AS activity, f.feature_timestamp AS features_at, f.feature_timestamp AS scored_at, m.nearest, "
+    "(SELECT grid_id FROM hourly GROUP BY grid_id ORDER BY round(sum(total_activity), 4) DESC, grid_id LIMIT 1) AS top_grid, "
+    "(SELECT grid_id FROM hourly WHERE timestamp = (SELECT max(timestamp) FROM hourly) ORDER BY total_activity DESC, grid_id LIMIT 1) AS hottest, "
+    "'network_risk_scores' AS missing_output, (SELECT least(count(*), 25) FROM latest_alerts) AS alerts_checked, coalesce(l.n, 0) AS alerts_here, "
+    "(SELECT grid_id FROM latest_alerts ORDER BY current_activity DESC, grid_id, alert_type LIMIT 1) AS newest_alert_grid{more} "
+    f"FROM {_KNOWN} LEFT JOIN {_NEAREST} m ON g.grid_id = m.grid_id LEFT JOIN (SELECT grid_id, count(*) AS n FROM "
+    "(SELECT * FROM latest_alerts ORDER BY current_activity DESC, grid_id, alert_type LIMIT 25) GROUP BY grid_id) l ON g.grid_id = l.grid_id"
+)
+
+
+def _read_back(packages, root: str, history: str, *more):
+    fields = [F.get_json_object("package", path).cast(kind).alias(name) for name, (path, kind) in _fields(root, history).items()]
+    return packages.select("grid_id", *fields, *more)
 
 
-@query("evidence_package")
+@query("evidence_package", _READ_BACK.format(more=f", {_GAPS} AS gaps"))
 def evidence_package(t: Tables):
-    return serve.evidence_package(_evidence(t), serve.network_summary(t.hourly), ["activity_history_summary"])
+    """Figures read back from every grid's package, and its gaps."""
+    made = serve.evidence_package(_evidence(t), _HISTORY, _SOURCES, _NEEDS)
+    gap = "array<struct<evidence:string,source:string,gap:string>>"
+    gaps = F.from_json(F.get_json_object("package", "$.uncertainty"), gap)
+    return _read_back(made, "$.current_evidence", "$.historical_evidence", _told(gaps).alias("gaps"))
 
 
-@query("evidence_dump")
+@query("evidence_dump", _READ_BACK.format(more=""))
 def evidence_dump(t: Tables):
-    return serve.evidence_dump(_evidence(t))
+    return _read_back(serve.evidence_dump(_evidence(t)), "$", "$")
 
 
 @query(

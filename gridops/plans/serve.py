@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridops.operators.clean import latest
@@ -39,60 +39,100 @@ def network_summary(hourly: DataFrame, as_of=None) -> DataFrame:
 
 
 def alert_history_summary(alerts: DataFrame, grids: DataFrame, as_of=None, k: int = 25) -> DataFrame:
-    """Per grid of ``grids``: what the newest ``k`` ranked alerts say about it."""
+    """Per grid of ``grids``: what the newest ``k`` ranked alerts say about it.
+
+    The alerts are ranked once; their ``k`` rows travel as one value.
+    """
     top = rank_alerts(alerts, k, as_of=as_of)
-    checked = top.agg(F.count("*").alias("n")).scalar()
-    per_grid = top.groupBy("grid_id").agg(
-        F.count("*").alias("matching_grid_alerts"),
-        F.array_sort(F.collect_set("severity")).alias("matching_alert_types"),
-    )
+    listed = top.agg(F.collect_list(F.struct("grid_id", "severity")).alias("top")).scalar()
+    mine = F.filter("top", lambda a: a["grid_id"] == F.col("grid_id"))
     return (
         grids.select("grid_id")
         .distinct()
-        .join(per_grid, "grid_id", "left")
+        .withColumn("top", listed)
         .select(
             "grid_id",
-            checked.alias("alerts_checked"),
-            F.coalesce("matching_grid_alerts", F.lit(0)).alias("matching_grid_alerts"),
-            F.coalesce("matching_alert_types", F.array().cast("array<string>")).alias("matching_alert_types"),
+            F.size("top").cast("bigint").alias("alerts_checked"),
+            F.size(mine).cast("bigint").alias("matching_grid_alerts"),
+            F.array_sort(F.array_distinct(F.array_compact(F.transform(mine, lambda a: a["severity"])))).alias(
+                "matching_alert_types"
+            ),
         )
     )
 
 
-def evidence_parts(grids: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+def evidence_parts(
+    grids: DataFrame, parts: dict[str, DataFrame], shared: dict[str, DataFrame] | None = None
+) -> DataFrame:
     """One row per grid with each part as a struct, NULL where the part has no row.
 
     Every part holds at most one row per grid, so the joins neither fan out nor skew.
+    ``shared`` parts say the same of every grid, such as the hotspots or the status of
+    the outputs: a top-k report each, carried as a list, NULL if it is empty.
     """
     out = grids.select("grid_id").distinct()
     for name, part in parts.items():
         value = F.struct(*[c for c in part.columns if c != "grid_id"])
         out = out.join(part.select("grid_id", value.alias(name)), "grid_id", "left")
+    for name, report in (shared or {}).items():
+        listed = report.agg(F.collect_list(F.struct("*")).alias(name)).scalar()
+        out = out.withColumn(name, F.nullif(listed, F.slice(listed, 1, 0)))
     return out
 
 
-def evidence_gaps(evidence: DataFrame) -> DataFrame:
-    """Add ``gaps``: the names of the evidence parts a grid lacks, in column order."""
+def nearby_hotspots(nearby: DataFrame, hotspots: DataFrame) -> DataFrame:
+    """Per grid its nearest cells in order, and which of them are among ``hotspots``; at most 20 cells a grid."""
+    hot = hotspots.select(F.col("grid_id").alias("nearby_grid_id"), F.lit(True).alias("hot")).distinct()
+    rows = nearby.join(hot, "nearby_grid_id", "left").withColumn("is_hotspot", F.coalesce("hot", F.lit(False)))
+    cell = F.struct("position", "nearby_grid_id", "distance_degrees", "is_hotspot")
+    return rows.groupBy("grid_id").agg(
+        F.array_sort(F.collect_list(cell)).alias("nearby_cells"), F.count_if("is_hotspot").alias("nearby_hotspots")
+    )
+
+
+def evidence_gaps(
+    evidence: DataFrame, sources: dict[str, str] | None = None, needs: dict[str, str] | None = None
+) -> DataFrame:
+    """Add ``gaps``: evidence, source and gap (the cause) of every part a grid lacks, in column order.
+
+    ``sources`` names the table or answer behind a part (else the part itself);
+    ``needs`` names the part without which another cannot be made.
+    """
+    sources, needs = sources or {}, needs or {}
+
+    def gap(part: str) -> Column:
+        cause = F.lit("no rows")
+        if part in needs:
+            cause = F.when(F.col(needs[part]).isNull(), f"skipped, {needs[part]} is missing").otherwise(cause)
+        record = F.struct(
+            F.lit(part).alias("evidence"), F.lit(sources.get(part, part)).alias("source"), cause.alias("gap")
+        )
+        return F.when(F.col(part).isNull(), record)
+
     parts = [c for c in evidence.columns if c != "grid_id"]
-    return evidence.withColumn("gaps", F.array_compact(F.array(*[F.when(F.col(c).isNull(), c) for c in parts])))
+    return evidence.withColumn("gaps", F.array_compact(F.array(*[gap(c) for c in parts])))
 
 
-def evidence_package(evidence: DataFrame, summary: DataFrame, history: list[str]) -> DataFrame:
+def evidence_package(
+    evidence: DataFrame,
+    history: list[str],
+    sources: dict[str, str] | None = None,
+    needs: dict[str, str] | None = None,
+) -> DataFrame:
     """One JSON package per grid: current evidence, history summaries and what is missing.
 
     ``history`` names the parts that summarise the past. NULL fields are kept in
     the text, so a missing value stays visible.
     """
     current = [c for c in evidence.columns if c not in ("grid_id", *history)]
-    one = summary.select(F.struct("*").alias("network_summary")).scalar()
     package = F.struct(
         "grid_id",
-        F.struct(one.alias("network_summary"), *current).alias("current_evidence"),
+        F.struct(*current).alias("current_evidence"),
         F.struct(*history).alias("historical_evidence"),
         F.col("gaps").alias("uncertainty"),
     )
     text = F.to_json(package, {"ignoreNullFields": "false"})
-    return evidence_gaps(evidence).select("grid_id", text.alias("package"), "gaps")
+    return evidence_gaps(evidence, sources, needs).select("grid_id", text.alias("package"), "gaps")
 
 
 def evidence_dump(evidence: DataFrame) -> DataFrame:

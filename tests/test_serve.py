@@ -33,20 +33,34 @@ def evidence(spark):
     grids = spark.createDataFrame([(1,), (2,)], "grid_id int")
     current = hourly(spark, [(1, 0, 5.0)])
     history = spark.createDataFrame([(1, None)], "grid_id int, points bigint")
-    return serve.evidence_parts(grids, {"current": current, "history": history})
+    status = spark.createDataFrame([("hourly", True), ("risk", False)], "output string, available boolean")
+    shared = {"network_summary": serve.network_summary(current), "status": status, "hotspots": status.where("false")}
+    return serve.evidence_parts(grids, {"current": current, "history": history}, shared)
 
 
 def test_gaps_and_packages(spark):
     parts = evidence(spark)
-    assert rows(serve.evidence_gaps(parts), "grid_id", "gaps") == [(1, []), (2, ["current", "history"])]
-    summary = serve.network_summary(hourly(spark, [(1, 0, 5.0)]))
-    got = {r.grid_id: json.loads(r.package) for r in serve.evidence_package(parts, summary, ["history"]).collect()}
-    assert got[1]["current_evidence"]["network_summary"]["top_grid"] == 1
-    assert got[1]["current_evidence"]["current"]["total_activity"] == 5.0
+    gaps = {r.grid_id: [tuple(g) for g in r.gaps] for r in serve.evidence_gaps(parts, {"history": "daily"}, {"history": "current"}).collect()}
+    assert gaps == {
+        1: [("hotspots", "hotspots", "no rows")],
+        2: [("current", "current", "no rows"), ("history", "daily", "skipped, current is missing"), ("hotspots", "hotspots", "no rows")],
+    }
+    got = {r.grid_id: json.loads(r.package) for r in serve.evidence_package(parts, ["history"]).collect()}
+    assert got[1]["current_evidence"]["network_summary"][0]["top_grid"] == 1
+    assert [r["available"] for r in got[2]["current_evidence"]["status"]] == [True, False]
+    assert got[1]["current_evidence"]["current"]["total_activity"] == 5.0 and got[1]["current_evidence"]["hotspots"] is None
     assert got[1]["historical_evidence"] == {"history": {"points": None}}  # a missing value stays visible
-    assert got[2]["current_evidence"]["current"] is None and got[2]["uncertainty"] == ["current", "history"]
+    assert got[2]["current_evidence"]["current"] is None
+    assert [g["evidence"] for g in got[2]["uncertainty"]] == ["current", "history", "hotspots"]
     dump = {r.grid_id: json.loads(r.package) for r in serve.evidence_dump(parts).collect()}
-    assert set(dump[2]) == {"grid_id", "current", "history"}
+    assert set(dump[2]) == {"grid_id", "current", "history", "network_summary", "status", "hotspots"}
+
+
+def test_nearby_hotspots(spark):
+    near = spark.createDataFrame([(1, 2, 3, 0.2), (1, 1, 2, 0.1), (2, 1, 1, 0.1)], "grid_id int, position int, nearby_grid_id int, distance_degrees double")
+    hot = spark.createDataFrame([(3,), (3,)], "grid_id int")
+    got = {r.grid_id: ([c.nearby_grid_id for c in r.nearby_cells], r.nearby_hotspots) for r in serve.nearby_hotspots(near, hot).collect()}
+    assert got == {1: ([2, 3], 1), 2: ([1], 0)}
 
 
 def test_evidence_sufficient(spark):
