@@ -14,11 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridops.functions.time import hour_floor
+from gridops.ml.labels import label_threshold, split_chronological
 from gridops.operators import clean as c
 from gridops.operators.aggregate import hourly_grid_summary
+from gridops.operators.joins import join_labels
 from gridops.operators.rules import rule_alerts, score_anomalies
 from gridops.operators.windows import build_features
 from gridops.schema import CHANNELS, FEATURES, RENAMES
+from gridops.session import scratch_path
+from gridops.sinks.writers import write_parquet
 
 KINDS = {"sms_in": "click", "sms_out": "view", "call_in": "purchase", "call_out": "signup", "internet": "error"}
 #: At the default floor of 100 the small tables hold no activity drops.
@@ -88,6 +92,13 @@ class Tables:
     def anomalies(self) -> DataFrame:
         return score_anomalies(self.hourly)
 
+    @cached_property
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        """(train, test) of the labelled features, which are written first: the cut and the learners read them often."""
+        path = scratch_path(self.spark, "labelled")
+        write_parquet(join_labels(self.features, label_threshold(self.hourly), ["future_activity", "target"]), path)
+        return split_chronological(self.spark.read.parquet(path))
+
     @cached_property
     def probes(self) -> DataFrame:
         """Distinct (grid, minute) of every event; some grids have no activity at all."""

@@ -64,14 +64,23 @@ def read_activity_csv_inferred(t: Tables):
     return df.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
 
 
-@query("discover_files")
+@query("discover_files", "SELECT count(*) AS rows, true AS all_listed, true AS only_matches FROM raw_activity")
 def discover_files(t: Tables):
-    return src.discover_files(t.spark, _csv(t, t.raw_file), _PARTS, require_match=True).select("file_name", "length")
-
-
-@query("file_provenance")
+    """Rows of the files found, in a folder that holds other files, too."""
+    path = _csv(t, t.raw_file)
+    t.raw_file.write.mode("append").json(path)
+    found = src.discover_files(t.spark, path, _PARTS, require_match=True)
+    paths = [r["path"] for r in found.select("path").toLocalIterator()]
+    read = src.read_activity_csv(t.spark, paths)
+    listed = found.agg(F.count_if(F.col("length") > 0) == F.count("*")).scalar()
+    matches = found.agg(F.count_if(F.col("file_name").endswith(".csv")) == F.count("*")).scalar()
+    return read.agg(F.count("*").alias("rows")).select("rows", listed.alias("all_listed"), matches.alias("only_matches"))
+
+
+@query("file_provenance", "SELECT 'events.parquet' AS file_name, 'events.parquet' AS path_end FROM events LIMIT 1")
 def file_provenance(t: Tables):
-    return src.file_provenance(t.table("events"))
+    names = src.file_provenance(t.table("events"))
+    return names.select("file_name", F.element_at(F.split("file_path", "/"), -1).alias("path_end"))
 
 
 @query("read_parquet", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -141,11 +150,16 @@ def verify_round_trip(t: Tables):
     return w.verify_round_trip(t.hourly, path)
 
 
-@query("output_size")
+@query("output_size", "SELECT count(*) AS rows, true AS same_files, true AS same_bytes FROM hourly")
 def output_size(t: Tables):
+    """The size told beside the files that the rows themselves say they come from."""
     path = scratch_path(t.spark, "size")
-    w.write_parquet(_hourly(t), path)
-    return w.output_size(t.spark, path)
+    w.write_partitioned(_hourly(t).withColumn("date", F.to_date("timestamp")), path)
+    told = w.output_size(t.spark, path).select(F.struct("files", "bytes")).scalar()
+    per_file = t.spark.read.parquet(path).groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.max("_metadata.file_size").alias("b"))
+    whole = per_file.agg(F.sum("n").alias("rows"), F.count("*").alias("files"), F.sum("b").alias("bytes")).withColumn("told", told)
+    same = lambda name: F.col(name) == F.col("told")[name]
+    return whole.select("rows", same("files").alias("same_files"), same("bytes").alias("same_bytes"))
 
 
 @query(
@@ -278,9 +292,10 @@ def repartition_by_date(t: Tables):
     return layout.repartition_by_date(t.clean.select("date", "grid_id", "timestamp")).groupBy("date").agg(F.count("*").alias("rows"))
 
 
-@query("partition_sizes")
+@query("partition_sizes", "SELECT count(*) AS rows, true AS all_filled FROM clean")
 def partition_sizes(t: Tables):
-    return layout.partition_sizes(layout.repartition_by_date(t.clean.select("date", "grid_id", "timestamp", *CHANNELS)))
+    sizes = layout.partition_sizes(layout.repartition_by_date(t.clean.select("date", "grid_id", "timestamp", *CHANNELS)))
+    return sizes.agg(F.sum("rows").alias("rows"), (F.min("rows") > 0).alias("all_filled"))
 
 
 @query(
@@ -292,7 +307,8 @@ def cached(t: Tables):
     return layout.cache_timings(t.hourly, ["grid_id", "timestamp", "total_activity"]).select("run", "rows")
 
 
-@query("explain_plan")
+@query("explain_plan", "SELECT count(*) AS rows, true AS reads_events, true AS aggregates FROM hourly")
 def explain_plan(t: Tables):
     plan = layout.explain_plan(t.hourly)
-    return t.hourly.agg(F.count("*").alias("rows")).withColumn("plan", F.lit(plan))
+    told = {"reads_events": "events.parquet" in plan, "aggregates": "HashAggregate" in plan}
+    return t.hourly.agg(F.count("*").alias("rows")).withColumns({k: F.lit(v) for k, v in told.items()})

@@ -10,16 +10,13 @@ from gridops.ml import models as m
 from gridops.operators import aggregate as a
 from gridops.operators.joins import join_labels
 from gridops.session import scratch_path
+from gridops.sinks.writers import write_parquet
 
 
 def _labelled(t: Tables):
     return join_labels(t.features, lab.label_threshold(t.hourly), ["future_activity", "target"])
 
 
-def _split(t: Tables):
-    return lab.split_chronological(_labelled(t))
-
-
 def _judged(t: Tables):
     """Anomaly flags taken as predictions of the next-hour label."""
     flags = t.anomalies.select("grid_id", "timestamp", F.col("anomaly_flag").alias("prediction"))
@@ -61,14 +58,9 @@ def label_relative(t: Tables):
     return rows.select("grid_id", "timestamp", "baseline_24h", "future_activity", "target")
 
 
-@query(
-    "split_chronological",
-    "SELECT grid_id, feature_timestamp, target, CASE WHEN upto <= 0.8 * n THEN 'train' ELSE 'test' END AS part FROM "
-    "(SELECT *, count(*) OVER (ORDER BY feature_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto, "
-    "count(*) OVER () AS n FROM labelled)",
-)
+@query("split_chronological", "SELECT grid_id, feature_timestamp, target, part FROM split")
 def split_chronological(t: Tables):
-    train, test = _split(t)
+    train, test = t.split
     both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
     return both.select("grid_id", "feature_timestamp", "target", "part")
 
@@ -145,64 +137,173 @@ def class_report(t: Tables):
     return rounded(m.class_report(_judged(t)), ["precision", "recall", "f1"], 6)
 
 
-def _scored_metrics(model, test):
-    return m.binary_metrics(m.predict(model, test))
+def _held_out(model, test, fits):
+    """What SQL can say of a model: the counts of its test rows, whether its metrics there follow from
+    the confusion matrix, and whether it fits the rows it learned from (``fits``, one boolean).
+
+    Quality on the test rows is left out: the given tables hold no signal to be learned.
+    """
+    scored = m.predict(model, test)
+    told = m.binary_metrics(scored).select(F.struct("*")).scalar()
+    cell = lambda target, p: F.coalesce(F.sum(F.when(F.col("target") == target, F.col(f"predicted_{p}"))), F.lit(0))
+    cells = m.confusion_matrix(scored).agg(*[cell(t, p).alias(f"n{t}{p}") for t in (0, 1) for p in (0, 1)])
+    positives, rows = F.col("n11") + F.col("n10"), F.col("n00") + F.col("n01") + F.col("n10") + F.col("n11")
+    ratio = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    again = {
+        "accuracy": ratio(F.col("n00") + F.col("n11"), rows),
+        "precision": ratio(F.col("n11"), F.col("n11") + F.col("n01")),
+        "recall": ratio(F.col("n11"), positives),
+        "f1": ratio(2 * F.col("n11"), 2 * F.col("n11") + F.col("n01") + F.col("n10")),
+        "base_rate": ratio(positives, rows),
+    }
+    agree = F.lit(True)
+    for name, value in again.items():
+        agree = agree & (F.abs(F.col("told")[name] - value) < 1e-9)
+    return cells.withColumn("told", told).select(
+        rows.alias("test_rows"),
+        positives.alias("test_positives"),
+        agree.alias("metrics_agree"),
+        fits.scalar().alias("fits_training"),
+    )
+
+
+_TESTED = (
+    "SELECT count(*) AS test_rows, count(*) FILTER (WHERE target = 1) AS test_positives, true AS metrics_agree, "
+    "true AS fits_training FROM {rows}"
+)
 
 
-@query("train_logistic")
+@query("train_logistic", _TESTED.format(rows="split WHERE part = 'test'"))
 def train_logistic(t: Tables):
-    train, test = _split(t)
-    return _scored_metrics(m.train_logistic(train), test)
+    """A fitted intercept makes the scores of the training rows add up to their positives."""
+    train, test = t.split
+    model = m.train_logistic(train)
+    off = F.abs(F.sum("risk_score") - F.sum("target"))
+    return _held_out(model, test, m.score_probability(model, train).agg(off <= 0.01 * F.count("*")))
 
 
-@query("train_tree")
+@query("train_tree", _TESTED.format(rows="split WHERE part = 'test'"))
 def train_tree(t: Tables):
-    train, test = _split(t)
-    return _scored_metrics(m.train_tree(train), test)
+    """Every leaf predicts its larger class, so the training rows are told at least as well as by the larger class."""
+    train, test = t.split
+    model = m.train_tree(train)
+    right = F.count_if(F.col("prediction") == F.col("target"))
+    return _held_out(model, test, m.predict(model, train).agg(right >= F.greatest(F.sum("target"), F.count("*") - F.sum("target"))))
 
 
-@query("train_boosted")
+@query("train_boosted", _TESTED.format(rows="related WHERE late"))
 def train_boosted(t: Tables):
+    """Of the training rows, those told positive are so more often than all are."""
     rows = join_labels(t.features, lab.label_relative(t.hourly), ["future_activity", "target"])
-    train, test = lab.split_chronological(rows)
-    return _scored_metrics(m.train_boosted(lab.with_class_weight(train), rounds=20), test)
+    path = scratch_path(t.spark, "relative")
+    write_parquet(rows, path)
+    train, test = lab.split_chronological(t.spark.read.parquet(path))
+    model = m.train_boosted(lab.with_class_weight(train))
+    told = m.binary_metrics(m.predict(model, train))
+    return _held_out(model, test, told.select(F.col("precision") > F.col("base_rate")))
+
 
+_BASE = "(SELECT round(avg(target), 6) FROM split WHERE part = 'test')"
 
-@query("model_comparison")
+
+@query(
+    "model_comparison",
+    f"SELECT metric, CASE WHEN metric = 'base_rate' THEN {_BASE} END AS logistic_base, "
+    f"CASE WHEN metric = 'base_rate' THEN {_BASE} END AS tree_base, true AS in_range FROM "
+    "(SELECT unnest(['accuracy', 'precision', 'recall', 'f1', 'base_rate']) AS metric)",
+)
 def model_comparison(t: Tables):
-    train, test = _split(t)
-    models = {"logistic": m.train_logistic(train), "tree": m.train_tree(train)}
-    return m.model_comparison({name: _scored_metrics(model, test) for name, model in models.items()})
+    train, test = t.split
+    made = {"logistic": m.train_logistic(train), "tree": m.train_tree(train)}
+    table = m.model_comparison({name: m.binary_metrics(m.predict(model, test)) for name, model in made.items()})
+    base = lambda name: F.when(F.col("metric") == "base_rate", F.round(name, 6)).alias(f"{name}_base")
+    return table.select("metric", base("logistic"), base("tree"), (F.col("logistic").between(0, 1) & F.col("tree").between(0, 1)).alias("in_range"))
+
+
+_NAMES = "(SELECT unnest(['avg_activity', 'activity_growth', 'active_hours', 'peak_ratio', 'variability', 'internet_share']) AS feature)"
 
 
-@query("coefficient_ranking")
+@query("coefficient_ranking", f"SELECT feature, true AS is_absolute FROM {_NAMES}")
 def coefficient_ranking(t: Tables):
-    return m.coefficient_ranking(t.spark, m.train_logistic(_split(t)[0]))
+    ranked = m.coefficient_ranking(t.spark, m.train_logistic(t.split[0]))
+    return ranked.select("feature", (F.col("absolute_coefficient") == F.abs("coefficient")).alias("is_absolute"))
 
 
-@query("feature_importance")
+@query("feature_importance", f"SELECT feature, true AS in_range, 1.0::DOUBLE AS total FROM {_NAMES}")
 def feature_importance(t: Tables):
-    return m.feature_importance(t.spark, m.train_tree(_split(t)[0]))
+    shares = m.feature_importance(t.spark, m.train_tree(t.split[0]))
+    total = shares.agg(F.round(F.sum("importance"), 6)).scalar()
+    return shares.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
 
 
-@query("score_probability")
+@query(
+    "score_probability",
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE target = 1)::DOUBLE AS expected_positives, 0::BIGINT AS out_of_range "
+    "FROM split WHERE part = 'train'",
+)
 def score_probability(t: Tables):
-    model = m.train_tree(_split(t)[0])
-    return m.score_probability(model, t.features).select("grid_id", "feature_timestamp", "risk_score")
+    """Leaves hold class shares, so the scores of the training rows add up to their positives."""
+    train = t.split[0]
+    scored = m.score_probability(m.train_tree(train), train)
+    return scored.agg(
+        F.count("*").alias("rows"),
+        F.round(F.sum("risk_score"), 4).alias("expected_positives"),
+        F.count_if(~F.col("risk_score").between(0, 1)).alias("out_of_range"),
+    )
 
 
-@query("save_load_model")
+@query(
+    "save_load_model",
+    "SELECT grid_id, feature_timestamp, true AS same_score, true AS same_label FROM features",
+)
 def save_load_model(t: Tables):
+    """Every row scored by the model and by its reloaded copy."""
     path = scratch_path(t.spark, "model")
-    m.save_model(m.train_tree(_split(t)[0]), path)
-    return m.predict(m.load_model(t.spark, path), t.features).select("grid_id", "feature_timestamp", "prediction_label")
+    model = m.train_tree(t.split[0])
+    m.save_model(model, path)
+    first = m.predict(model, t.features).withColumnsRenamed({"risk_score": "s", "prediction_label": "l"}).drop("prediction")
+    both = m.predict(m.load_model(t.spark, path), first)
+    return both.select(
+        "grid_id", "feature_timestamp", (F.col("s") == F.col("risk_score")).alias("same_score"), (F.col("l") == F.col("prediction_label")).alias("same_label")
+    )
+
 
+def _level():
+    return F.when(F.col("risk_score") >= 0.7, "high").when(F.col("risk_score") >= 0.4, "medium").otherwise("low")
 
-@query("network_risk_scores")
+
+@query(
+    "network_risk_scores",
+    "SELECT f.grid_id, f.feature_timestamp AS timestamp, true AS scored, true AS level_fits, round(n.anomaly_score, 6) AS anomaly_score, "
+    "n.anomaly_flag, n.direction, n.reason FROM features f "
+    "LEFT JOIN anomalies n ON f.grid_id = n.grid_id AND f.feature_timestamp = n.timestamp",
+)
 def network_risk_scores(t: Tables):
-    return m.risk_scores(m.train_tree(_split(t)[0]), t.features, t.anomalies)
+    rows = m.risk_scores(m.train_tree(t.split[0]), t.features, t.anomalies)
+    return rows.select(
+        "grid_id",
+        "timestamp",
+        F.col("risk_score").between(0, 1).alias("scored"),
+        (F.col("risk_level") == _level()).alias("level_fits"),
+        F.round("anomaly_score", 6).alias("anomaly_score"),
+        "anomaly_flag",
+        "direction",
+        "reason",
+    )
 
 
-@query("predict_risk")
+@query(
+    "predict_risk",
+    "SELECT grid_id, feature_timestamp, CASE WHEN grid_id NOT BETWEEN 1 AND 10000 THEN 'grid_id' ELSE '' END || "
+    "CASE WHEN internet_share * 4 > 1 THEN CASE WHEN grid_id NOT BETWEEN 1 AND 10000 THEN '|' ELSE '' END || 'internet_share' ELSE '' END AS violations, "
+    "grid_id BETWEEN 1 AND 10000 AND internet_share * 4 <= 1 AS has_score, true AS consistent FROM features",
+)
 def predict_risk(t: Tables):
-    return m.predict_risk(m.train_tree(_split(t)[0]), t.features)
+    """The share is quadrupled so that some rows are refused."""
+    rows = t.features.withColumn("internet_share", F.col("internet_share") * 4)
+    told = m.predict_risk(m.train_tree(t.split[0]), rows)
+    known = F.col("risk_score").isNotNull()
+    fits = F.col("risk_level").eqNullSafe(F.when(known, _level())) & F.col("explanation_note").isNotNull().eqNullSafe(known)
+    return told.select(
+        "grid_id", "feature_timestamp", F.array_join("violations", "|").alias("violations"), known.alias("has_score"), fits.alias("consistent")
+    )

@@ -238,9 +238,13 @@ def order_series(t: Tables):
     return r.order_series(rounded(t.hourly, ["total_activity"]).select("grid_id", "timestamp", "total_activity"))
 
 
-@query("sample_rows")
+@query("sample_rows", "SELECT least(count(*), 10) AS rows, least(count(*), 10) AS known FROM clean")
 def sample_rows(t: Tables):
-    return r.sample_rows(t.clean, 10)
+    """How many rows the sample has, and how many of them are rows of the table."""
+    rows = r.sample_rows(t.clean, 10)
+    same = F.xxhash64(*t.clean.columns).alias("h")
+    known = rows.select(same).join(t.clean.select(same).distinct().withColumn("k", F.lit(1)), "h", "left")
+    return known.agg(F.count("*").alias("rows"), F.count("k").alias("known"))
 
 
 @query(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks.adapter import Tables, rounded
 from checks.registry import query
 from gridops.functions import scoring as sc
-from gridops.ml import labels, models
+from gridops.ml import models
 from gridops.ml.labels import label_relative
 from gridops.operators import aggregate as a
 from gridops.operators import asof, joins, nearby, ranking, rules
@@ -219,7 +219,7 @@ def _evidence(t: Tables):
     newest = t.hourly.groupBy("grid_id").agg(F.max_by(F.struct("timestamp", "total_activity"), "timestamp").alias("r"))
     cells = nearby.cell_centroids(t.geo)
     current, hot = asof.features_as_of(t.features), ranking.hotspots(t.hourly)
-    model = models.train_tree(labels.split_chronological(joins.join_labels(t.features, labels.label_threshold(t.hourly), ["target"]))[0])
+    model = models.train_tree(t.split[0])
     written = scratch_path(t.spark, "hourly")
     write_parquet(t.hourly, written)
     outputs = {"hourly_grid_summary": written, "network_risk_scores": scratch_path(t.spark, "missing")}

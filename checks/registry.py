@@ -169,6 +169,14 @@ BLOCKS: dict[str, str] = {
         "(SELECT grid_id, timestamp, lead(total_activity) OVER (PARTITION BY grid_id ORDER BY timestamp) AS future_activity "
         "FROM hourly) n ON f.grid_id = n.grid_id AND f.feature_timestamp = n.timestamp WHERE n.future_activity IS NOT NULL"
     ),
+    "split": (
+        "SELECT *, CASE WHEN upto <= 0.8 * n THEN 'train' ELSE 'test' END AS part FROM (SELECT *, count(*) OVER "
+        "(ORDER BY feature_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto, count(*) OVER () AS n FROM labelled)"
+    ),
+    "related": (
+        "SELECT *, count(*) OVER (ORDER BY feature_timestamp RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 0.8 * count(*) OVER () AS late "
+        "FROM (SELECT f.*, r.target FROM features f JOIN relative r ON f.grid_id = r.grid_id AND f.feature_timestamp = r.timestamp)"
+    ),
     "probes": (
         "SELECT DISTINCT CAST(user_id + 1 + CASE WHEN event_id % 40 = 0 THEN 1000000 ELSE 0 END AS INTEGER) AS grid_id, date_trunc('minute', ts) AS probe_timestamp FROM events"
     ),

@@ -20,7 +20,7 @@ from gridops.operators.clean import require_columns, validate_feature_ranges
 from gridops.operators.joins import join_risk_anomaly
 from gridops.operators.layout import cached
 from gridops.schema import FEATURES, MODEL_VERSION
-from gridops.session import path_exists
+from gridops.session import path_exists, scratch_path
 
 
 def _fit(train: DataFrame, classifier) -> PipelineModel:
@@ -65,6 +65,10 @@ def train_boosted(
     )
     if weight:
         gbt = gbt.setWeightCol(weight)
+    # Every tenth round is checkpointed; without a folder for it the plan of 300 rounds would be one lineage.
+    context = train.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_path(train.sparkSession, "boosting"))
     with cached(_training_set(train, target, *([weight] if weight else []))) as rows:
         return _fit(rows, gbt)
 
