@@ -18,6 +18,7 @@ from gridops.ml.labels import label_threshold, split_chronological
 from gridops.operators import clean as c
 from gridops.operators.aggregate import hourly_grid_summary
 from gridops.operators.joins import join_labels
+from gridops.operators.nearby import cell_centroids
 from gridops.operators.rules import rule_alerts, score_anomalies
 from gridops.operators.windows import build_features
 from gridops.schema import CHANNELS, FEATURES, RENAMES
@@ -92,6 +93,13 @@ class Tables:
     def anomalies(self) -> DataFrame:
         return score_anomalies(self.hourly)
 
+    @cached_property
+    def cells(self) -> DataFrame:
+        """Centroids of the cells, a stage table."""
+        path = scratch_path(self.spark, "centroids")
+        write_parquet(cell_centroids(self.geo), path)
+        return self.spark.read.parquet(path)
+
     @cached_property
     def split(self) -> tuple[DataFrame, DataFrame]:
         """(train, test) of the labelled features, which are written first: the cut and the learners read them often."""

@@ -121,7 +121,7 @@ def distinct_centroids(t: Tables):
     "FROM centroids a JOIN centroids b ON a.grid_id <> b.grid_id WHERE a.lon IS NOT NULL AND b.lon IS NOT NULL)) WHERE position <= 5",
 )
 def nearby_grids(t: Tables):
-    return nearby.nearby_grids(t.geo, 5)
+    return nearby.nearby_grids(t.cells, 5)
 
 
 @query(

@@ -217,23 +217,22 @@ _HISTORY = ["activity_history_summary", "alert_history_summary", "prior_alerts"]
 
 def _evidence(t: Tables):
     newest = t.hourly.groupBy("grid_id").agg(F.max_by(F.struct("timestamp", "total_activity"), "timestamp").alias("r"))
-    cells = nearby.cell_centroids(t.geo)
     current, hot = asof.features_as_of(t.features), ranking.hotspots(t.hourly)
     model = models.train_tree(t.split[0])
     written = scratch_path(t.spark, "hourly")
     write_parquet(t.hourly, written)
     outputs = {"hourly_grid_summary": written, "network_risk_scores": scratch_path(t.spark, "missing")}
     return serve.evidence_parts(
-        cells,
+        t.cells,
         {
             "current_grid_activity": newest.select("grid_id", "r.*"),
             "grid_features": current,
             "model_score": models.predict_risk(model, current),
             "anomaly_score": asof.anomaly_as_of(t.alerts),
             "grid_location": nearby.grid_location(t.geo).where(F.col("geometry").isNotNull()),
-            "nearby_hotspots": serve.nearby_hotspots(nearby.nearby_grids(t.geo), hot),
+            "nearby_hotspots": serve.nearby_hotspots(nearby.nearby_grids(t.cells), hot),
             "activity_history_summary": a.history_summary(t.hourly),
-            "alert_history_summary": serve.alert_history_summary(t.alerts, cells),
+            "alert_history_summary": serve.alert_history_summary(t.alerts, t.cells),
         },
         {
             "network_summary": serve.network_summary(t.hourly),

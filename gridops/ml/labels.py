@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridops.operators.aggregate import exact_quantiles
 from gridops.operators.windows import lead_activity, prior_median
 from gridops.schema import HIGH_RATIO, LABEL_THRESHOLD
 
@@ -15,30 +16,13 @@ def label_threshold(hourly: DataFrame, threshold: float = LABEL_THRESHOLD) -> Da
     return rows.withColumn("target", (F.col("future_activity") > threshold).cast("int"))
 
 
-def exact_quantile(df: DataFrame, value: str, q: float) -> Column:
-    """The smallest value with a share of at least ``q`` of the non-null values at or below it, as a scalar subquery.
-
-    Two steps of counts: over whole numbers, to find the one the rank falls into, then
-    over the distinct values of that one. No step holds all values in one task.
-    """
-    values = df.select(F.col(value).alias("v")).where(F.col("v").isNotNull())
-    upto = lambda order: Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    whole = values.groupBy(F.floor("v").alias("b")).agg(F.count("*").alias("n"))
-    ranked = whole.select("b", "n", F.sum("n").over(upto("b")).alias("upto"), F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"))
-    rank = F.greatest(F.ceil(F.col("total") * q), F.lit(1))
-    place = ranked.where(F.col("upto") >= rank).agg(F.min(F.struct("b", (rank - F.col("upto") + F.col("n")).alias("rest"))).alias("p"))
-    inside = values.join(place.select("p.b", "p.rest"), F.floor("v") == F.col("b")).groupBy("v", "rest").agg(F.count("*").alias("n"))
-    found = inside.withColumn("upto", F.sum("n").over(upto("v"))).where(F.col("upto") >= F.col("rest"))
-    return found.agg(F.min("v").alias("cut")).scalar()
-
-
 def label_percentile(hourly: DataFrame, train_until, q: float = 0.9) -> DataFrame:
     """Target = next hour above the ``q`` quantile of activity up to ``train_until`` only.
 
-    The quantile is exact at any size, see :func:`exact_quantile`.
+    The quantile is exact at any size, see :func:`exact_quantiles`.
     """
     end = F.lit(train_until).cast("timestamp_ntz") if isinstance(train_until, str) else train_until
-    cut = exact_quantile(hourly.where(F.col("timestamp") <= end), "total_activity", q)
+    cut = exact_quantiles(hourly.where(F.col("timestamp") <= end), [], "total_activity", q).agg(F.max("cut")).scalar()
     rows = lead_activity(hourly).where(F.col("future_activity").isNotNull())
     return rows.withColumn("target", (F.col("future_activity") > cut).cast("int"))
 

@@ -82,21 +82,38 @@ def busiest_grid(hourly: DataFrame, as_of=None) -> DataFrame:
     return _highest(hourly.where(F.col("timestamp") <= latest(hourly, as_of)), "grid_id", "grid_id")
 
 
+def exact_quantiles(df: DataFrame, keys: list[str], column: str, q: float) -> DataFrame:
+    """Per group ``cut``: the smallest value with a share of at least ``q`` of the non-null values at or below it.
+
+    Two steps of counts: over whole numbers, to find the one that the rank falls into,
+    then over the distinct values of that one. No step holds the values of a group in one task.
+    """
+    values = df.select(*keys, F.col(column).alias("cut")).where(F.col("cut").isNotNull())
+    whole = values.groupBy(*keys, F.floor("cut").alias("whole")).agg(F.count("*").alias("n"))
+    group = Window.partitionBy(*keys)
+    upto = F.sum("n").over(group.orderBy("whole").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = whole.withColumns({"upto": upto, "total": F.sum("n").over(group)})
+    rank = F.greatest(F.ceil(F.col("total") * q), F.lit(1))
+    reached = ranked.where(F.col("upto") >= rank).withColumn("rest", rank - F.col("upto") + F.col("n"))
+    places = reached.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min(F.struct("whole", "rest")).alias("place"))
+    here = F.floor("cut") == F.col("place.whole")
+    for k in keys:
+        here = here & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    inside = values.join(places, here).groupBy(*keys, "cut", F.col("place.rest").alias("rest")).agg(F.count("*").alias("n"))
+    running = inside.withColumn("upto", F.sum("n").over(group.orderBy("cut").rowsBetween(Window.unboundedPreceding, 0)))
+    return running.where(F.col("upto") >= F.col("rest")).groupBy(*keys).agg(F.min("cut").alias("cut"))
+
+
 def baseline_median(df: DataFrame, keys: list[str], column: str = "total_activity", exact: bool = False) -> DataFrame:
     """Discrete median per group over all history; the result is a value that occurs.
 
     ``percentile_approx`` merges bounded sketches and is off by at most a
     10,000th of the group in rank, which is nothing for the days of one hour and
-    grid. ``exact`` ranks value counts instead, for groups of any size.
+    grid. ``exact`` counts values in two steps instead, for groups of any size.
     """
-    if not exact:
-        return df.groupBy(*keys).agg(F.percentile_approx(column, 0.5).alias("baseline_activity"))
-    counts = df.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("n"))
-    group = Window.partitionBy(*keys)
-    running = F.sum("n").over(group.orderBy(column).rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumns({"below": running, "total": F.sum("n").over(group)})
-    upper_half = ranked.where(F.col("below") * 2 >= F.col("total"))
-    return upper_half.groupBy(*keys).agg(F.min(column).alias("baseline_activity"))
+    if exact:
+        return exact_quantiles(df, keys, column, 0.5).withColumnRenamed("cut", "baseline_activity")
+    return df.groupBy(*keys).agg(F.percentile_approx(column, 0.5).alias("baseline_activity"))
 
 
 def alert_counts_by_type(alerts: DataFrame) -> DataFrame:

@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridops.functions.scoring import anomaly_score, deviation
-from gridops.session import bounded_broadcast
 from gridops.sources.files import join_optional
 
 
 def enrich_geometry(hourly: DataFrame, geo: DataFrame) -> DataFrame:
-    """Left join geometry on grid_id; the lookup is broadcast when its measured size allows."""
-    return hourly.join(bounded_broadcast(geo), "grid_id", "left")
+    """Left join geometry on grid_id.
+
+    No hint: Spark broadcasts the lookup when its statistics, or its measured size at
+    run time, are below the threshold, and otherwise shuffles both.
+    """
+    return hourly.join(geo, "grid_id", "left")
 
 
 def enrich_geometry_shuffle(hourly: DataFrame, geo: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridops.functions.geo import degree_distance, outer_ring, vertex_centroid
-from gridops.session import scratch_path
 
 ROOT_WIDTH = 512.0  # degrees: one root bucket covers all longitudes and latitudes
 # Widths down to 512 / 2**24 = 3e-5 degrees (3 m). Distances are rounded to 1e-5 before
@@ -37,18 +36,17 @@ def cell_centroids(geo: DataFrame) -> DataFrame:
     return geo.select("grid_id", c.alias("c")).select("grid_id", F.col("c.lon").alias("lon"), F.col("c.lat").alias("lat"))
 
 
-def nearby_grids(geo: DataFrame, k: int = 5) -> DataFrame:
+def nearby_grids(cells: DataFrame, k: int = 5) -> DataFrame:
     """(grid_id, position, nearby_grid_id, distance_degrees) for every cell, k from 1 to 20.
 
+    ``cells`` has grid_id, lon, lat, see :func:`cell_centroids`. They are read several
+    times and parsing geometry is the dear part, so pass a written table of them.
     Ordered by the rounded distance, then by id. A cell has fewer than k rows only
     when fewer than k other cells exist.
     """
     if not 1 <= k <= 20:
         raise ValueError("k must be between 1 and 20")
-    # Written once: the steps below read the centroids several times, and parsing geometry is the dear part.
-    path = scratch_path(geo.sparkSession, "centroids")
-    cell_centroids(geo).write.parquet(path)
-    cells = geo.sparkSession.read.parquet(path).where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    cells = cells.select("grid_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
     ranked = cells.withColumn("r", F.row_number().over(Window.partitionBy("lon", "lat").orderBy("grid_id")))
     members = ranked.where(F.col("r") <= k + 1).drop("r")
     sites = members.groupBy("lon", "lat").agg(F.count("*").alias("n"))

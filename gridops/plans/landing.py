@@ -250,13 +250,15 @@ def ingest_landing(
         schema = keep(validate_schema(pending, lines))
         results = keep(route_files(schema, validate_minimum_quality(pending, lines, headers=schema), skipped))
         valid = results.where(F.col("status") == "VALID")
+        # Either write reads only the files that it is about.
+        of = lambda some: landing_lines(spark, pending.join(some.select(F.col("filename").alias("file_name")), "file_name", "left_semi"))
         if not valid.isEmpty():
-            rows = _parsed(lines, valid).where(parse_timestamp("datetime").isNotNull())
+            rows = _parsed(of(valid), valid).where(parse_timestamp("datetime").isNotNull())
             typed = [_stored(f).alias(f.name) for f in RAW_SCHEMA.fields]
             _write_by_file(rows.select(*typed, F.col("filename").alias("source_file")), raw)
         refused = results.where(F.col("status") == "REJECTED").select("filename", "reason")
         if not refused.isEmpty():
-            lost = lines.join(bounded_broadcast(refused), "filename")
+            lost = of(refused).join(bounded_broadcast(refused), "filename")
             _write_by_file(lost.select("value", "reason", F.col("filename").alias("source_file")), rejected)
         log = append_audit(results, audit, processed_at)
     return log.where(F.col("processed_at") == processed_at).drop("processed_at")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,15 +27,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True if a file or folder exists; asks Spark's own listing, reads no content."""
-    try:
-        # Without the option, unlike subfolders would be taken for a broken partition layout.
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+    """True if a file or folder exists; asks its file system for this one path and lists nothing."""
+    system, own = file_system(spark, path)
+    return system.exists(own)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path``, and the path as it spells it: with scheme, without ``.`` or doubled slashes."""
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = plain.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system, system.makeQualified(plain)
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:

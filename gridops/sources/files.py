@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridops.schema import FILE_PATTERN, RAW_SCHEMA
-from gridops.session import path_exists
+from gridops.session import file_system, path_exists
 
 
 def read_activity_csv(spark: SparkSession, path: str | list[str], schema: T.StructType = RAW_SCHEMA) -> DataFrame:
@@ -24,39 +24,26 @@ def read_activity_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` as its file system spells it: with scheme, without ``.`` or doubled slashes."""
-    own = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return own.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(own).toString()
+def list_files(spark: SparkSession, directory: str) -> DataFrame:
+    """One row per file directly in ``directory``: path, file_name, length. Subfolders are not listed, content is not read.
 
-
-def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file under ``path``: path, file_name, length, modificationTime. Content is not read.
-
-    A scan leaves empty files out, so the names come from the reader's own listing
-    (which the driver holds for any read) and the scan adds length and time.
+    The names of one folder pass through the driver, empty files included, which no scan shows.
     """
-    if not path_exists(spark, path):
-        raise FileNotFoundError(path)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    # One spelling for both: "scheme:/path" without an empty authority.
-    spelled = F.regexp_replace(F.url_decode("uri"), "^(\\w+)://+(?=/)", "$1:").alias("path")
-    names = spark.createDataFrame([(uri.replace("+", "%2B"),) for uri in files.inputFiles()], "uri string").select(spelled)
-    known = names.join(files.select("path", "length", "modificationTime"), "path", "left")
-    return known.withColumns(
-        {"length": F.coalesce("length", F.lit(0)), "file_name": F.element_at(F.split("path", "/"), -1)}
-    )
+    system, own = file_system(spark, directory)
+    if not system.exists(own):
+        raise FileNotFoundError(directory)
+    if not system.getFileStatus(own).isDirectory():
+        raise NotADirectoryError(directory)
+    found = [s for s in system.listStatus(own) if s.isFile()]
+    rows = [(s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in found]
+    return spark.createDataFrame(rows, "path string, file_name string, length bigint")
 
 
 def discover_files(
     spark: SparkSession, directory: str, pattern: str = FILE_PATTERN, require_match: bool = False
 ) -> DataFrame:
     """Files directly in ``directory`` whose whole name matches ``pattern``, sorted by name."""
-    files, root = list_files(spark, directory), qualified(spark, directory)
-    if not files.where(F.col("path") == root).isEmpty():
-        raise NotADirectoryError(directory)
-    direct = F.col("path") == F.concat(F.lit(root.rstrip("/") + "/"), F.col("file_name"))
-    found = files.where(direct & F.col("file_name").rlike(pattern))
+    found = list_files(spark, directory).where(F.col("file_name").rlike(pattern))
     if require_match and found.isEmpty():
         raise FileNotFoundError(f"no file in {directory} matches {pattern}")
     return found.withColumn("file_date", F.regexp_extract("file_name", r"\d{4}-\d{2}-\d{2}", 0).try_cast("date")).orderBy(

@@ -78,7 +78,7 @@ def brute(pts, k):
 
 def check_nearby(spark, pts, k):
     got = {}
-    for r in nearby.nearby_grids(points(spark, pts), k).orderBy("grid_id", "position").collect():
+    for r in nearby.nearby_grids(nearby.cell_centroids(points(spark, pts)), k).orderBy("grid_id", "position").collect():
         got.setdefault(r.grid_id, []).append((r.distance_degrees, r.nearby_grid_id))
     want = brute(pts, k)
     assert {i: w for i, w in want.items() if w} == got
@@ -101,7 +101,7 @@ def test_nearby_with_fewer_cells_than_k(spark):
     check_nearby(spark, [(1, 0.0, 0.0), (2, 100.0, 50.0), (3, -100.0, -50.0)], 5)
     check_nearby(spark, [(1, 0.0, 0.0)], 5)
     with pytest.raises(ValueError):
-        nearby.nearby_grids(points(spark, [(1, 0.0, 0.0)]), 21)
+        nearby.nearby_grids(nearby.cell_centroids(points(spark, [(1, 0.0, 0.0)])), 21)
 
 
 def test_enrichment_keeps_rows_and_both_joins_agree(spark):
