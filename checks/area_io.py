@@ -142,12 +142,25 @@ def write_outputs(t: Tables):
 
 @query(
     "verify_round_trip",
-    "SELECT count(*) AS rows_before, count(*) AS rows_after, true AS rows_match, true AS content_match FROM hourly",
+    "SELECT copy, count(*) AS rows_before, CAST(count(*) - max(lost) AS BIGINT) AS rows_after, max(lost) = 0 AS rows_match, "
+    "copy = 'same' AS content_match FROM hourly CROSS JOIN (SELECT unnest(['same', 'changed', 'short']) AS copy, unnest([0, 0, 1]) AS lost) "
+    "GROUP BY copy",
 )
 def verify_round_trip(t: Tables):
+    """A true copy, one with the first row's activity changed, and one without that row."""
     path = scratch_path(t.spark, "roundtrip")
-    w.write_parquet(t.hourly, path)
-    return w.verify_round_trip(t.hourly, path)
+    first = t.hourly.agg(F.min(F.struct("timestamp", "grid_id"))).scalar()
+    here = F.struct("timestamp", "grid_id") == first
+    copies = {
+        "same": t.hourly,
+        "changed": t.hourly.withColumn("total_activity", F.when(here, -1.0).otherwise(F.col("total_activity"))),
+        "short": t.hourly.where(~here),
+    }
+    rows = []
+    for name, copy in copies.items():
+        w.write_parquet(copy, f"{path}/{name}")
+        rows.append(w.verify_round_trip(t.hourly, f"{path}/{name}").select(F.lit(name).alias("copy"), "*"))
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query("output_size", "SELECT count(*) AS rows, true AS same_files, true AS same_bytes FROM hourly")
@@ -234,6 +247,50 @@ def route_files(t: Tables):
     return _by_status(routed)
 
 
+_KEPT = "(SELECT count(*) FROM kept)"
+_REASONS = {
+    ("VALID", "SCHEMA_AND_QUALITY_VALIDATION_PASSED"): (_KEPT, "0"),
+    ("VALID", "SCHEMA_AND_QUALITY_VALIDATION_PASSED; non-numeric values stored as NULL: "): (_KEPT, _KEPT),
+    ("REJECTED", "SCHEMA_VALIDATION_FAILED: missing required column(s): [''internet'']"): (_KEPT, "0"),
+    ("REJECTED", "SCHEMA_VALIDATION_FAILED: unexpected column(s): [''extra'']"): (_KEPT, "0"),
+    ("REJECTED", "MINIMUM_QUALITY_FAILED: identifiers that are not whole numbers found: "): (_KEPT, _KEPT),
+    ("REJECTED", "MINIMUM_QUALITY_FAILED: malformed timestamp values found: "): (
+        "(SELECT count(*) FROM raw_activity)",
+        "(SELECT count(*) FILTER (WHERE timestamp IS NULL) FROM raw_activity)",
+    ),
+    ("REJECTED", "MINIMUM_QUALITY_FAILED: NULL grid_id values found: "): (
+        "(SELECT count(*) FILTER (WHERE timestamp IS NOT NULL) FROM raw_activity)",
+        "(SELECT count(*) FILTER (WHERE timestamp IS NOT NULL AND grid_id IS NULL) FROM raw_activity)",
+    ),
+}
+
+
+@query(
+    "landing_reasons",
+    " UNION ALL ".join(
+        f"SELECT '{status}' AS status, '{reason}' AS reason, CAST({rows} AS BIGINT) AS row_count, CAST({found} AS BIGINT) AS found"
+        for (status, reason), (rows, found) in _REASONS.items()
+    ),
+)
+def landing_reasons(t: Tables):
+    """Files of every kind of decision, with its reason; counts in a reason are summed over the files that give it."""
+    path, _ = _landing(t)
+    good = _good_file(t)
+    dated = t.raw_file.where(F.col("datetime") != "malformed")
+    halves = good.withColumn("CellID", F.col("CellID") + 0.5)
+    text = good.withColumn("internet", F.lit("n/a"))
+    for kind in (good.drop("internet"), good.withColumn("extra", F.lit(1)), dated, halves, text):
+        kind.write.mode("append").option("header", True).csv(path)
+    outcome = landing.ingest_landing(
+        t.spark, path, *_zones(t), "2024-02-01T00:00:00+00:00", files=src.discover_files(t.spark, path, _PARTS)
+    )
+    number = r"(?<=: )\d+$"
+    found = F.coalesce(F.regexp_extract("reason", number, 0).try_cast("bigint"), F.lit(0))
+    return outcome.groupBy("status", F.regexp_replace("reason", number, "").alias("reason")).agg(
+        F.sum("row_count").alias("row_count"), F.sum(found).alias("found")
+    )
+
+
 def _zones(t: Tables) -> list[str]:
     return [scratch_path(t.spark, name) for name in ("raw", "rejected", "audit")]
 
