@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridops.llm.common import flat_bytes, list_array, mix, prefix_sums, signed, slices, span_hash, stage
+from gridops.llm.common import flat_bytes, list_array, mix, prefix_sums, signed, slices, span_hash, stage, unused
 
 #: Five-word masks; either finds every window of 13 words with up to two substitutions (tested by enumeration).
 MASKS = ("11010011", "11001011")
@@ -231,8 +231,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **names: str) -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item, all columns as they are."""
+    """The rows of ``docs`` that overlap no benchmark item, all columns as they are, whatever their names."""
     found = contaminated(docs, benchmark, id_col, text_col, **names)
-    found = found.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"))
-    own = docs.withColumn("__key", F.xxhash64(F.col(text_col).cast("string")))
-    return own.join(found, own[id_col].eqNullSafe(found["__d"]) & (own["__key"] == found["__t"]), "left_anti").select(*docs.columns)
+    key, doc, text = unused(docs, "__key"), unused(docs, "__doc"), unused(docs, "__text")
+    found = found.select(F.col("doc_id").alias(doc), F.col("text_key").alias(text))
+    own = docs.withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
+    return own.join(found, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(key) == F.col(text)), "left_anti").drop(key)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridops.llm.common import stage
+from gridops.llm.common import stage, unused
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -58,12 +58,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are; one row per distinct text."""
+    """The rows of ``docs`` that stay, all columns as they are, whatever their names; one row per distinct text."""
     # One key of digest and id: it parts a text that many documents have, and the rows
     # that it brings together need no second shuffle to tell repeated ones.
     key = lambda digest, doc_id: F.concat_ws(":", digest, doc_id.cast("string"))
+    own, win = unused(docs, "__own"), unused(docs, "__win")
     classes = text_classes(_rows(docs, id_col, text_col), salts)
-    win = stage(classes.select(key(F.col("digest"), F.col("keep_id")).alias("__win")), "winners")
+    winners = stage(classes.select(key(F.col("digest"), F.col("keep_id")).alias(win)), "winners")
     digest = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
-    own = docs.withColumn("__own", key(digest, F.col(id_col)))
-    return own.join(win, own["__own"] == win["__win"]).dropDuplicates(["__own"]).select(*docs.columns)
+    keyed = docs.withColumn(own, key(digest, F.col(id_col)))
+    return keyed.join(winners, F.col(own) == F.col(win)).dropDuplicates([own]).drop(own, win)

@@ -218,13 +218,16 @@ def predict_language(docs: DataFrame, net: Network | None = None, id_col: str =
 
 
 def keep_identified(docs: DataFrame, net: Network | None = None, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language (not ``und``) with ``min_score`` at least, all columns as they are."""
+    """The rows of ``docs`` that have a language (not ``und``) with ``min_score`` at least, all columns as they are, whatever their names."""
     net = net or train(docs, id_col=id_col, text_col=text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col):
-            names, scores = classify_texts(net, batch[text_col])
+        for batch in slices(batches, text):
+            names, scores = classify_texts(net, batch[text])
             keep = (np.array(names, object) != UNKNOWN) & (scores >= min_score)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # By number, as Arrow functions take no column whose name has a dot.
+    numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    text = numbered.columns[docs.columns.index(text_col)]
+    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridops.llm.common import signed, slices, stage
+from gridops.llm.common import signed, slices, stage, unused
 from gridops.llm.components import connected_components
 
 #: Fixed values of the fingerprint: words per shingle, seed of XXH64.
@@ -161,7 +161,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_limit: int = 64) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns as they are: of each component the smallest doc_id.
+    """The rows of ``docs`` that stay, all columns as they are, whatever their names: of each component the smallest doc_id.
 
     Rows that share it are told apart by a hash of the text; of wholly repeated rows one stays.
     """
@@ -169,7 +169,8 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     key = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text), F.lit(0)).alias("text"))
     members = stage(fingerprints(docs.select(key.alias("__key"), text.alias("__text")).select("__key.*", "__text")), "simhash")
     firsts = _classes(members, F.struct("last", "id", "text"), bucket_limit).select("first.*").distinct()
-    firsts = stage(firsts.select(F.concat_ws(":", "text", F.col("id").cast("string")).alias("__first")), "firsts")
+    own, first = unused(docs, "__own"), unused(docs, "__first")
+    firsts = stage(firsts.select(F.concat_ws(":", "text", F.col("id").cast("string")).alias(first)), "firsts")
     # One key, so that repeated rows meet without a second shuffle.
-    own = docs.withColumn("__own", F.concat_ws(":", F.coalesce(F.xxhash64(text), F.lit(0)), F.col(id_col).cast("string")))
-    return own.join(firsts, own["__own"] == firsts["__first"]).dropDuplicates(["__own"]).select(*docs.columns)
+    keyed = docs.withColumn(own, F.concat_ws(":", F.coalesce(F.xxhash64(text), F.lit(0)), F.col(id_col).cast("string")))
+    return keyed.join(firsts, F.col(own) == F.col(first)).dropDuplicates([own]).drop(own, first)

@@ -11,6 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from gridops.llm import chat, decontam, exact, langid, repeats, shards, simhash, spm, tokens, urls
 from gridops.llm.queries import ORACLES, QUERIES
@@ -43,6 +44,24 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+@pytest.mark.parametrize(
+    "drop",
+    [
+        exact.drop_exact_duplicates,
+        simhash.drop_near_duplicates,
+        lambda df: decontam.drop_contaminated(df, df.sparkSession.createDataFrame([(1, LONG)], "item_id long, text string")),
+        lambda df: langid.keep_identified(df, langid.train_network([("en", b"some", 1), ("fr", b"autre", 1)], steps=2)),
+    ],
+    ids=["exact", "near", "contaminated", "identified"],
+)
+def test_filters_keep_columns_of_any_name(odd, drop):
+    names = ["__own", "__win", "__first", "__key", "__doc", "__text", "a.b", "n", "id", "hash", "item", "words", "digest", "salt", "key", "fp", "lang_pred"]
+    df = odd.select("*", *(F.concat_ws("-", F.lit(name), "doc_id").alias(name) for name in names))
+    rows = drop(df).collect()
+    assert drop(df).columns == df.columns and rows
+    assert all(r[name] == name + (f"-{r['doc_id']}" if r["doc_id"] else "") for r in rows for name in names)
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     return spark.read.parquet(f"{SMALL}/documents.parquet").cache()
