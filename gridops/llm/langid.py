@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridops.llm.common import flat_bytes, slices
+from gridops.llm.common import flat_bytes, slices, stage
 from gridops.llm.units import distinct, word_spans
 
 #: Label of texts without a letter.
@@ -141,19 +141,27 @@ def training_words(
     """The bounded sample the network learns from.
 
     Of the documents that may be learned from (text and language given, not held out),
-    the ``docs_per_language`` whose ids hash lowest; of their distinct words, counted
-    over the whole texts, the ``words_per_language`` that hash lowest.
+    the ``docs_per_language`` whose hashes of id and text are lowest, repeated rows once;
+    of their distinct words, counted over the whole texts, the ``words_per_language``
+    that hash lowest.
+
+    The documents are not ranked: hashes are counted in 65,536 places a language, which
+    tells up to what place the lowest stand, and only rows up to there are looked at.
     """
     usable = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull() & ~is_held_out(id_col))
-    by_hash = Window.partitionBy("lang").orderBy("hash", "id")
-    ids = usable.select(F.col(lang_col).cast("string").alias("lang"), F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("hash"))
-    # Spark keeps the lowest of each task before it shuffles them.
-    picked = ids.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= docs_per_language).select("id").distinct()
-    texts = usable.join(F.broadcast(picked), F.col(id_col).eqNullSafe(picked["id"]), "left_semi")
-    words = texts.select(F.col(lang_col).cast("string").alias("lang"), F.explode(F.split(text_col, "[ \\t-\\r]+")).alias("word"))
-    counts = words.where(F.col("word") != "").groupBy("lang", "word").agg(F.count("*").alias("count"))
+    text, lang = F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
+    hashed = usable.select(lang, text, F.xxhash64(F.col(id_col), text).alias("hash")).withColumn("place", F.shiftright("hash", 48))
+    counts = hashed.select("lang", "place", "hash").distinct().groupBy("lang", "place").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("place")) - F.col("n")
+    cuts = counts.withColumn("before", before).where(F.col("before") < docs_per_language).groupBy("lang").agg(F.max("place").alias("cut"))
+    # One row per language; then a few hundred documents of each.
+    low = stage(hashed.join(F.broadcast(cuts), "lang").where(F.col("place") <= F.col("cut")).select("lang", "hash", "text").dropDuplicates(["lang", "hash"]), "sample")
+    by_hash = Window.partitionBy("lang").orderBy("hash")
+    picked = low.select("lang", "hash").withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= docs_per_language)
+    words = low.join(F.broadcast(picked.drop("n")), ["lang", "hash"]).select("lang", F.explode(F.split("text", "[ \\t-\\r]+")).alias("word"))
+    counted = words.where(F.col("word") != "").groupBy("lang", "word").agg(F.count("*").alias("count"))
     by_word = Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word")
-    rows = counts.withColumn("n", F.row_number().over(by_word)).where(F.col("n") <= words_per_language).select("lang", "word", "count").collect()
+    rows = counted.withColumn("n", F.row_number().over(by_word)).where(F.col("n") <= words_per_language).select("lang", "word", "count").collect()
     return [(r["lang"], r["word"].encode(), r["count"]) for r in rows]
 
 

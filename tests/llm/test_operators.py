@@ -351,6 +351,19 @@ def test_language_of_held_out_documents(documents, odd, empty):
     assert {r["lang_pred"] for r in langid.predict_language(odd.where("doc_id < 4")).collect()} == {"und"}
 
 
+def test_training_sample_is_bounded_whatever_repeats(spark):
+    rows = [(i, f"w{i} same", "aa") for i in range(300)] + [(7, "hot text", "aa")] * 600 + [(i, f"v{i}", "bb") for i in range(5)] + [(9, None, "bb"), (9, "x", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = langid.training_words(df, docs_per_language=50)
+    aa = {w: n for lang, w, n in got if lang == "aa"}
+    assert 49 <= aa[b"same"] <= 50 and aa.get(b"hot", 1) == 1 and aa[b"same"] + aa.get(b"hot", 0) == 50
+    held = {r["doc_id"] for r in df.where(langid.is_held_out()).select("doc_id").collect()}
+    assert {w for lang, w, n in got if lang == "bb"} == {f"v{i}".encode() for i in range(5) if i not in held}
+    assert sorted(got) == sorted(langid.training_words(df.repartition(2), docs_per_language=50))
+    words = langid.training_words(df, docs_per_language=50, words_per_language=3)
+    assert Counter(w[0] for w in words)["aa"] == 3
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_queries_equal_their_sql(spark, name):
     from checks.compare import canonical, duck
