@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridops.llm.common import flat_bytes, ragged, slices, stage
-from gridops.llm.units import UnitStore, distinct, word_spans
+from gridops.llm.units import SPACE, UnitStore, distinct, word_spans
 
 #: First bytes of a block.
 MAGIC = b"DAC1"
@@ -86,11 +87,20 @@ class Block:
 
 
 @lru_cache(maxsize=2)
-def _store(path: str) -> UnitStore:
+def _specials(path: str) -> re.Pattern[bytes]:
+    """The strings that the tokenizer, as loaded, takes for one token wherever they stand in a text."""
+    found = Tokenizer.from_file(path).get_added_tokens_decoder().values()
+    if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in found):
+        raise ValueError("only special tokens that are matched as they are written can be cut out")
+    return re.compile(b"|".join(re.escape(t.content.encode()) for t in found) or b"(?!)")
+
+
+@lru_cache(maxsize=2)
+def _store(path: str, specials: bool) -> UnitStore:
     """Ids by word. White space never gets into a token of this tokenizer, so words encode alone."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    tokenizer.encode_special_tokens = not specials  # if set, their strings in a text are ordinary text
 
     def encode(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         found = [e.ids for e in tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
@@ -118,13 +128,23 @@ def _folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return folded, offsets, cut
 
 
-def token_ids(path: str, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, the end id after each, and the offsets of the texts among them."""
-    data, offsets = flat_bytes(texts)
-    data, offsets, cut = _folded(data, offsets)
+def token_ids(path: str, texts: pa.Array, end_id: int, specials: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, the end id after each, and the offsets of the texts among them.
+
+    With ``specials`` the strings of the tokenizer's special tokens are those tokens, else ordinary text.
+    """
+    raw, offsets = flat_bytes(texts)
+    data, offsets, cut = _folded(raw, offsets)
+    for m in _specials(path).finditer(raw) if specials else ():
+        inside = np.searchsorted(offsets, [m.start(), m.end() - 1], "right")
+        if inside[0] == inside[1]:  # not put together from two texts
+            cut[m.start() : m.end()] = False
+            for at in (m.start(), m.end()):  # a cut is between two bytes of words
+                if 0 < at < len(cut):
+                    cut[at] = not SPACE[raw[at - 1]] and not SPACE[raw[at]]
     starts, ends, by_text = word_spans(data, offsets, cut)
     which, words = distinct(data, starts, ends)
-    store = _store(path)
+    store = _store(path, specials)
     at = store.numbers(words)[which] if len(which) else which
     ids, bounds = store.tables()
     where, spans = ragged(bounds[at], bounds[at + 1] - bounds[at])
@@ -154,7 +174,8 @@ def write_token_blocks(
     doc_id and a hash of the text, so that even one doc_id on many rows is dealt out;
     a task holds one block at a time. A block ends after ``block_tokens`` ids (a longer
     document is whole in its block). A null text has no token but the end id; a null
-    doc_id sorts first and reads back as null; equal doc_ids sort by text.
+    doc_id sorts first and reads back as null; equal doc_ids sort by text. Strings of
+    special tokens in a text become those tokens, as the library does by default.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -172,7 +193,7 @@ def write_token_blocks(
             return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], fields)
 
         for batch in slices(batches, "text", 2 << 20):
-            ids, offsets = token_ids(tokenizer_path, batch["text"], end_id)
+            ids, offsets = token_ids(tokenizer_path, batch["text"], end_id, specials=True)
             names = batch["doc_id"].fill_null(NULL_ID).to_numpy(zero_copy_only=False)
             held.append((names, ids, np.diff(offsets)))
             size += len(ids)

@@ -360,6 +360,22 @@ def test_token_blocks(spark, odd, empty, documents, texts):
     assert tokens.read_token_blocks(tokens.write_token_blocks(empty, WORDS)).count() == 0
 
 
+def test_special_tokens_in_texts_as_the_library_by_default(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(WORDS)  # as loaded
+    end, start = "<|endoftext|>", "<|startoftext|>"
+    texts = [f"a {end} b", f"{end}{start}{end}", f"foo{start}'s {end.upper()} x", "<|endof", "text|> y", f"É{end}\u0301a", f"z{end}", None, "<|endoftext|", f"<{end}>", "plain it's"]
+    encode = lambda t: tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+    ids, offsets = tokens.token_ids(WORDS, pa.array(texts), 1, specials=True)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)] == [encode(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = tokens.read_token_blocks(tokens.write_token_blocks(df, WORDS)).collect()
+    sizes = np.cumsum([0, *(len(encode(t)) for t in texts)]).tolist()
+    want = {i: (sizes[i], len(encode(t)), zlib.crc32(np.array(encode(t), "<u4").tobytes())) for i, t in enumerate(texts)}
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in got} == want
+
+
 def test_backpropagation_equals_differences():
     rng = np.random.default_rng(0)
     net = langid.train_network([("a", b"abc", 1), ("b", b"xyz", 2), ("a", b"bcd", 1)], hidden=4, steps=1)
