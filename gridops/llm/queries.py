@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gridops.llm import chat, decontam, exact, langid, repeats, shards, simhash, spm, tokens, urls
+from gridops.llm import audit, chat, decontam, exact, langid, pagetext, repeats, runs, shards, simhash, spm, tokens, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,53 @@ QUERIES["op6_decontamination"] = op6_decontamination
 @_query("op3_suffix_dedup", "documents")
 def op3_suffix_dedup(documents: DataFrame) -> DataFrame:
     return repeats.remove_repeats(documents).drop("kept")
+
+
+@_query("op11_periodic_runs", "documents")
+def op11_periodic_runs(documents: DataFrame) -> DataFrame:
+    return runs.run_digest(runs.find_runs(documents, loops=True))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    return audit.audit_filters(documents, labels)
+
+
+QUERIES["op12_filter_audit"] = op12_filter_audit
+ORACLES["op12_filter_audit"] = r"""WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+f AS (
+  SELECT doc_id, part, (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+         + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)::INT AS mask FROM d),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+c AS (SELECT chr(65 + i::INT) AS c FROM range(5) t(i)),
+o AS (
+  SELECT a.c || b.c || d.c || e.c || g.c AS filter_order FROM c a, c b, c d, c e, c g
+  WHERE len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5),
+s AS (
+  SELECT filter_order, k::INT AS step, substr(filter_order, k::INT, 1) AS letter,
+         list_sum([1 << (ascii(substr(filter_order, i::INT, 1)) - 65) FOR i IN range(1, k)]) AS before
+  FROM o, range(1, 6) t(k)),
+r AS (
+  SELECT part, filter_order, step, letter, 1 << (ascii(letter) - 65) AS bit, coalesce(before, 0)::INT AS before, mask, n, good, toxic FROM m, s),
+t AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (mask & before <> 0 AND mask & bit <> 0), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM r GROUP BY part, filter_order, step, letter)
+SELECT * EXCLUDE (letter), (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley FROM t"""
+
+
+@_query("op13_html_extraction", "pages")
+def op13_html_extraction(pages: DataFrame) -> DataFrame:
+    return pagetext.extract_main_text(pages)
