@@ -204,48 +204,6 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 == simhash.drop_near_duplicates(empty).count()
 
 
-def grams(text, n=5):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[i : i + n]) for i in range(max(len(words) - n + 1, 1))}
-
-
-@pytest.mark.parametrize("limit", [64, 4])
-def test_stage_drops_near_copies_of_similarity(spark, odd, empty, limit):
-    import corpus_pipeline
-    from gridops.llm import similar
-
-    rnd = random.Random(8)
-    words = [f"w{i}" for i in range(5000)]
-    rows, copies = [], 0
-    for _ in range(40):
-        base = [rnd.choice(words) for _ in range(400)]
-        rows.append(" ".join(base))
-        for changes in (3, 8, 8, 16, 40):
-            copy = base.copy()
-            for i in rnd.sample(range(0, 400, 5), changes):
-                copy[i] = "X" + rnd.choice(words)
-            rows.append("\n".join(copy).upper())
-    hot = [rnd.choice(words) for _ in range(100)]
-    rows += [" ".join([*hot, f"end{i}"]) for i in range(150)]
-    sets = [grams(t) for t in rows]
-    alike = lambda a, b: len(a & b) / len(a | b) >= 0.8
-    near = [(i, j) for j in range(len(rows)) for i in range(j) if alike(sets[i], sets[j])]
-    root = list(range(len(rows)))
-    for _ in range(8):
-        for i, j in near:
-            root[j] = root[i] = min(root[i], root[j])
-    copies = {j for j in range(len(rows)) if root[j] < j}
-    assert len(copies) > 150
-    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
-    run = (lambda d: corpus_pipeline.deduplicate_nearly(spark, d, SMALL)) if limit == 64 else (lambda d: similar.drop_similar(d, bucket_limit=limit))
-    kept = {r["doc_id"] for r in run(df).collect()}
-    assert kept >= set(range(len(rows))) - copies  # nothing goes that is not linked to a smaller one
-    assert sum(i in kept and j in kept for i, j in near) <= 0.002 * len(near)
-    stays = run(odd)
-    assert stays.columns == odd.columns and {r["doc_id"] for r in stays.collect()} == {1, 5, 7, None}
-    assert run(empty).count() == 0
-
-
 def removed_by_force(docs, length):
     seen = Counter(d[i : i + length] for d in docs for i in range(len(d) - length + 1))
     for d in docs:
