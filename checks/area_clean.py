@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks.adapter import Tables, rounded
 from checks.registry import NEGATIVE, NULL_CHANNEL, REJECTED, query
+from gridops.functions.time import hours_before
 from gridops.operators import clean as c
 from gridops.operators import profile as p
 from gridops.operators import ranking as r
@@ -127,22 +128,32 @@ _HOUR = "timestamp, grid_id, sms_in, sms_out, call_in, call_out, internet, round
     "round(total_calls, 4) AS total_calls, round(total_activity, 4) AS total_activity"
 
 
+_LAST_DAY = "timestamp BETWEEN (SELECT max(timestamp) FROM hourly) - INTERVAL 23 HOUR AND (SELECT max(timestamp) FROM hourly)"
+_MORNING = "timestamp BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-10 09:00:00'"
+
+
 @query(
     "activity_window",
-    f"SELECT {_HOUR} FROM hourly WHERE grid_id = 7 AND timestamp BETWEEN "
-    "(SELECT max(timestamp) FROM hourly) - INTERVAL 23 HOUR AND (SELECT max(timestamp) FROM hourly)",
+    f"SELECT {_HOUR} FROM hourly WHERE {_LAST_DAY} AND grid_id = (SELECT grid_id FROM hourly WHERE {_LAST_DAY} "
+    "GROUP BY grid_id ORDER BY count(*) DESC, grid_id LIMIT 1)",
 )
 def activity_window(t: Tables):
-    return rounded(c.activity_window(t.hourly, 7), ["total_sms", "total_calls", "total_activity"])
+    """The last day of the grid that reported most often in it."""
+    end = t.hourly.agg(F.max("timestamp")).scalar()
+    often = t.hourly.where(F.col("timestamp").between(hours_before(end), end)).groupBy("grid_id").count()
+    grid = often.orderBy(F.desc("count"), "grid_id").first()["grid_id"]
+    return rounded(c.activity_window(t.hourly, grid), ["total_sms", "total_calls", "total_activity"])
 
 
 @query(
     "activity_window_hour",
-    f"SELECT {_HOUR} FROM hourly WHERE grid_id = 7 AND timestamp BETWEEN TIMESTAMP '2024-01-09 10:00:00' "
-    "AND TIMESTAMP '2024-01-10 09:00:00' AND CAST(timestamp AS DATE) = DATE '2024-01-10' AND hour(timestamp) = 6",
+    f"SELECT {_HOUR} FROM hourly WHERE (timestamp, grid_id) IN (SELECT timestamp, grid_id FROM hourly WHERE {_MORNING} ORDER BY timestamp, grid_id LIMIT 1)",
 )
 def activity_window_hour(t: Tables):
-    rows = c.activity_window(t.hourly, 7, as_of="2024-01-10 09:00:00", date="2024-01-10", hour=6)
+    """One hour of one grid: the first that reported on a morning."""
+    start, end = (F.lit(f"2024-01-10 0{h}:00:00").cast("timestamp_ntz") for h in (0, 9))
+    first = t.hourly.where(F.col("timestamp").between(start, end)).agg(F.min(F.struct("timestamp", "grid_id"))).first()[0]
+    rows = c.activity_window(t.hourly, first["grid_id"], as_of="2024-01-10 09:00:00", date="2024-01-10", hour=first["timestamp"].hour)
     return rounded(rows, ["total_sms", "total_calls", "total_activity"])
 
 

@@ -107,10 +107,13 @@ def degree_distance(t: Tables):
 
 @query(
     "distinct_centroids",
-    "SELECT round(lon, 7) AS lon, round(lat, 7) AS lat, count(*) AS cells FROM centroids GROUP BY 1, 2 HAVING count(*) > 1",
+    "SELECT round(lon, 7) AS lon, round(lat, 7) AS lat, count(*) AS cells FROM (SELECT * FROM centroids UNION ALL "
+    "SELECT * FROM centroids WHERE grid_id % 7 = 0) GROUP BY 1, 2 HAVING count(*) > 1",
 )
 def distinct_centroids(t: Tables):
-    return rounded(nearby.distinct_centroids(t.geo), ["lon", "lat"], 7)
+    """Every seventh cell stands there a second time under another id."""
+    again = t.geo.where("grid_id % 7 = 0").withColumn("grid_id", F.col("grid_id") + 1_000_000)
+    return rounded(nearby.distinct_centroids(t.geo.union(again)), ["lon", "lat"], 7)
 
 
 @query(

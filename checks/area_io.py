@@ -54,14 +54,10 @@ def read_activity_csv(t: Tables):
     return src.read_activity_csv(t.spark, _csv(t, t.raw_file))
 
 
-@query(
-    "read_activity_csv_inferred",
-    "SELECT timestamp AS datetime, grid_id AS \"CellID\", country_code AS countrycode, sms_in AS smsin, sms_out AS smsout, "
-    "call_in AS callin, call_out AS callout, internet FROM kept",
-)
+@query("read_activity_csv_inferred", _RAW_FILE)
 def read_activity_csv_inferred(t: Tables):
-    df = src.read_activity_csv_inferred(t.spark, _csv(t, _good_file(t)))
-    return df.withColumn("datetime", F.col("datetime").cast("timestamp_ntz"))
+    """All rows, defects included: a malformed timestamp makes the column text."""
+    return src.read_activity_csv_inferred(t.spark, _csv(t, t.raw_file))
 
 
 @query("discover_files", "SELECT count(*) AS rows, true AS all_listed, true AS only_matches FROM raw_activity")
@@ -93,10 +89,21 @@ def read_geojson_lookup(t: Tables):
     return src.read_geojson_lookup(t.spark, _geojson(t))
 
 
-@query("read_optional", "SELECT grid_id, timestamp, CAST(NULL AS DOUBLE) AS prediction FROM hourly")
+@query(
+    "read_optional",
+    "SELECT input, grid_id, timestamp, CASE WHEN input = 'present' THEN anomaly_flag END AS prediction FROM anomalies "
+    "CROSS JOIN (SELECT unnest(['absent', 'lacking', 'present']) AS input)",
+)
 def read_optional(t: Tables):
-    found = src.read_optional(t.spark, scratch_path(t.spark, "absent"), ["grid_id", "timestamp", "prediction"])
-    return src.join_optional(t.hourly.select("grid_id", "timestamp"), found, ["grid_id", "timestamp"], {"prediction": "double"})
+    """Predictions that are there, whose table is not, and whose table has no such column."""
+    keys, kind = ["grid_id", "timestamp"], {"prediction": "int"}
+    paths = {name: scratch_path(t.spark, name) for name in ("absent", "lacking", "present")}
+    flags = t.anomalies.select(*keys, F.col("anomaly_flag").alias("prediction"))
+    w.write_parquet(flags, paths["present"])
+    w.write_parquet(flags.select(*keys), paths["lacking"])
+    read = {name: src.read_optional(t.spark, path, [*keys, "prediction"]) for name, path in paths.items()}
+    parts = [src.join_optional(t.hourly.select(*keys), found, keys, kind).select(F.lit(name).alias("input"), "*") for name, found in read.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 _HOURLY = "SELECT timestamp, grid_id, round(total_activity, 4) AS total_activity FROM hourly"
@@ -313,22 +320,26 @@ def append_audit(t: Tables):
     return _by_status(outcome)
 
 
-@query("already_processed", "SELECT 'SKIPPED' AS status, CAST(0 AS BIGINT) AS row_count FROM raw_activity LIMIT 1")
+@query(
+    "already_processed",
+    "SELECT 'VALID' AS before, 'SKIPPED' AS now, count(*) AS row_count FROM kept UNION ALL SELECT 'REJECTED', 'SKIPPED', count(*) FROM raw_activity",
+)
 def already_processed(t: Tables):
+    """A second run over the same files: how each file was decided before, by name, and the rows it had."""
     path, found = _landing(t)
     zones = _zones(t)
-    landing.ingest_landing(t.spark, path, *zones, "2024-02-01T00:00:00+00:00", files=found)
+    first = landing.ingest_landing(t.spark, path, *zones, "2024-02-01T00:00:00+00:00", files=found)
+    first = first.select("filename", F.col("status").alias("before"), "row_count")
     again = landing.ingest_landing(t.spark, path, *zones, "2024-02-02T00:00:00+00:00", files=found)
-    return _by_status(again)
+    both = first.join(again.select("filename", F.col("status").alias("now")), "filename", "full")
+    return both.groupBy("before", "now").agg(F.sum("row_count").alias("row_count"))
 
 
 @query("ingest_arrivals", _ROUTED)
 def arrivals(t: Tables):
     path, _ = _landing(t)
-    log, checkpoint = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "checkpoint")
-    outcome = ingest_arrivals(
-        t.spark, path, *_zones(t), log, checkpoint, "2024-02-01T00:00:00+00:00", pattern=_PARTS
-    )
+    checkpoint = scratch_path(t.spark, "checkpoint")
+    outcome = ingest_arrivals(t.spark, path, *_zones(t), checkpoint, "2024-02-01T00:00:00+00:00", pattern=_PARTS)
     return _by_status(outcome)
 
 

@@ -5,10 +5,13 @@ from pyspark.sql import functions as F
 from checks.adapter import Tables, rounded
 from checks.registry import query
 from gridops.functions.scoring import apply_threshold as threshold
+from gridops.functions.time import time_key
 from gridops.ml import labels as lab
 from gridops.ml import models as m
+from gridops.ml.boosting import DRAW, DRAWS, UNIT, Settings, sampled_columns
 from gridops.operators import aggregate as a
 from gridops.operators.joins import join_labels
+from gridops.schema import FEATURES
 from gridops.session import scratch_path
 from gridops.sinks.writers import write_parquet
 
@@ -191,16 +194,78 @@ def train_tree(t: Tables):
     return _held_out(model, test, m.predict(model, train).agg(right >= F.greatest(F.sum("target"), F.count("*") - F.sum("target"))))
 
 
-@query("train_boosted", _TESTED.format(rows="related WHERE late"))
+def _first_tree_sql(levels: int = 3) -> str:
+    """The first ``levels`` splits of the first boosted tree, grown level by level on the same bins and rows."""
+    s = Settings()
+    names = [FEATURES[i] for i in sampled_columns(FEATURES, 0, s)]
+    shares = ", ".join(str(i / s.bins) for i in range(1, s.bins))
+    soft = lambda g: f"(sign({g}) * greatest(abs({g}) - {s.l1}, 0))"
+    worth = lambda g, h: f"({soft(g)} * {soft(g)} / ({h} + {s.l2}))"
+    fixed = lambda x: f"round({x} * {UNIT}) / {UNIT}"
+    bins = ", ".join(f"len(list_filter((SELECT e_{c} FROM edges), lambda b: b < {c})) AS b_{c}" for c in names)
+    edges = ", ".join(f"list_distinct(quantile_disc({c}::DOUBLE, [{shares}])) AS e_{c}" for c in names)
+    each = " UNION ALL ".join(f"SELECT path, {i} AS f, '{c}' AS feature, b_{c} AS cut, list_sort((SELECT e_{c} FROM edges)) AS borders, g, h FROM {{rows}}" for i, c in enumerate(names))
+    parts = [
+        "train AS (SELECT * FROM related WHERE NOT late)",
+        "ratio AS (SELECT count(*) FILTER (WHERE target = 0) / count(*) FILTER (WHERE target = 1) AS w, "
+        "count(*) FILTER (WHERE target = 1) * w AS one, count(*) FILTER (WHERE target = 0) AS zero FROM train)",
+        f"edges AS (SELECT {edges} FROM train)",
+        "weighed AS (SELECT *, CASE WHEN target = 1 THEN w ELSE 1.0 END AS wt, 1 / (1 + exp(-ln(one / zero))) AS p FROM train, ratio)",
+        f"rows0 AS (SELECT '' AS path, {bins}, {fixed('wt * (p - target)')} AS g, {fixed('wt * p * (1 - p)')} AS h FROM weighed "
+        f"WHERE (grid_id * 1000003 + epoch(feature_timestamp)::BIGINT) % {DRAWS} * {DRAW % DRAWS} % {DRAWS} // 65536 % 100 < {round(s.row_share * 100)})",
+    ]
+    for level in range(levels):
+        parts += [
+            f"cells{level} AS (SELECT path, f, feature, cut, any_value(borders) AS borders, sum(g) AS g, sum(h) AS h, count(*) AS n "
+            f"FROM ({each.format(rows=f'rows{level}')}) GROUP BY path, f, feature, cut)",
+            f"sums{level} AS (SELECT *, sum(g) OVER u AS gl, sum(h) OVER u AS hl, sum(n) OVER u AS nl, sum(g) OVER w - sum(g) OVER u AS gr, "
+            f"sum(h) OVER w - sum(h) OVER u AS hr, sum(n) OVER w - sum(n) OVER u AS nr, sum(g) OVER w AS ga, sum(h) OVER w AS ha FROM cells{level} "
+            "WINDOW w AS (PARTITION BY path, f), u AS (PARTITION BY path, f ORDER BY cut))",
+            f"gains{level} AS (SELECT *, {worth('gl', 'hl')} + {worth('gr', 'hr')} - {worth('ga', 'ha')} AS gain FROM sums{level} "
+            f"WHERE nl >= {s.leaf_rows} AND nr >= {s.leaf_rows})",
+            f"best{level} AS (SELECT * FROM gains{level} WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY path ORDER BY gain DESC, f, cut) = 1)",
+            f"rows{level + 1} AS (SELECT r.* REPLACE (r.path || CASE b.feature "
+            + " ".join(f"WHEN '{c}' THEN CASE WHEN b_{c} <= b.cut THEN 'L' ELSE 'R' END" for c in names)
+            + f" END AS path) FROM rows{level} r JOIN best{level} b ON r.path = b.path)",
+        ]
+    split = lambda level: f"LEFT JOIN best{level} b ON r.path = b.path" if level < levels else ""
+    told = lambda level: "any_value(b.feature), any_value(b.borders[b.cut + 1]), round(any_value(b.gain), 6)" if level < levels else "NULL, NULL, NULL"
+    nodes = " UNION ALL ".join(
+        f"SELECT r.path AS path, {told(level)}, round(-{soft('sum(r.g)')} / (sum(r.h) + {s.l2}) * {s.rate}, 9), count(*) FROM rows{level} r {split(level)} GROUP BY r.path"
+        for level in range(levels + 1)
+    )
+    return (
+        f"SELECT path, feature, border, gain, weight, rows, 300 AS trees, true AS within_limits FROM (WITH {', '.join(parts)} "
+        f"SELECT * FROM ({nodes}) x(path, feature, border, gain, weight, rows)) WHERE EXISTS (SELECT 1 FROM related)"
+    )
+
+
+@query("train_boosted", _first_tree_sql())
 def train_boosted(t: Tables):
-    """Of the training rows, those told positive are so more often than all are."""
+    """The first three levels of the first of 300 trees: splits, gains, leaf weights; and whether all trees keep the limits."""
     rows = join_labels(t.features, lab.label_relative(t.hourly), ["future_activity", "target"])
     path = scratch_path(t.spark, "relative")
     write_parquet(rows, path)
-    train, test = lab.split_chronological(t.spark.read.parquet(path))
-    model = m.train_boosted(lab.with_class_weight(train))
-    told = m.binary_metrics(m.predict(model, train))
-    return _held_out(model, test, told.select(F.col("precision") > F.col("base_rate")))
+    train, _ = lab.split_chronological(t.spark.read.parquet(path))
+    key = F.col("grid_id").cast("bigint") * 1_000_003 + time_key("feature_timestamp")
+    model = m.train_boosted(lab.with_class_weight(train), key=key)
+    nodes = model.nodes(t.spark)
+    leaf = F.col("feature").isNull()
+    per_tree = nodes.groupBy("tree").agg(F.count_if(leaf).alias("leaves"), F.max("level").alias("depth"), F.min(F.when(leaf & (F.col("level") > 0), F.col("rows"))).alias("least"))
+    limits = per_tree.agg(F.count("*").cast("int").alias("trees"), F.every((F.col("leaves") <= 31) & (F.col("depth") <= 6) & (F.coalesce("least", F.lit(50)) >= 50)).alias("within_limits"))
+    first = nodes.where("tree = 0")
+    up = first.where("feature IS NOT NULL")
+    sides = up.select("node", F.explode(F.array(F.struct(F.col("left").alias("child"), F.lit("L").alias("side")), F.struct((F.col("left") + 1).alias("child"), F.lit("R").alias("side")))).alias("s"))
+    sides = sides.select(F.col("node").alias("parent"), "s.*")
+    paths = first.where("node = 0").select("node", F.lit("").alias("path"))
+    shown, level = paths, paths
+    for _ in range(3):
+        level = level.join(sides, level["node"] == sides["parent"]).select(F.col("child").alias("node"), F.concat("path", "side").alias("path"))
+        shown = shown.union(level)
+    inner = lambda c: F.when(F.col("level") < 3, F.col(c))
+    return first.join(shown, "node").join(limits).select(
+        "path", inner("feature").alias("feature"), inner("border").alias("border"), F.round(inner("gain"), 6).alias("gain"), F.round("weight", 9).alias("weight"), "rows", "trees", "within_limits"
+    )
 
 
 _BASE = "(SELECT round(avg(target), 6) FROM split WHERE part = 'test')"
@@ -307,3 +372,37 @@ def predict_risk(t: Tables):
     return told.select(
         "grid_id", "feature_timestamp", F.array_join("violations", "|").alias("violations"), known.alias("has_score"), fits.alias("consistent")
     )
+
+
+@query("score_probability_figures")
+def score_probability_figures(t: Tables):
+    """Every row of the features with its score by the tree."""
+    scored = m.score_probability(m.train_tree(t.split[0]), t.features)
+    return scored.select("grid_id", "feature_timestamp", *FEATURES, "risk_score")
+
+
+@query("network_risk_scores_figures")
+def network_risk_scores_figures(t: Tables):
+    return m.risk_scores(m.train_tree(t.split[0]), t.features, t.anomalies)
+
+
+@query("predict_risk_figures")
+def predict_risk_figures(t: Tables):
+    return m.predict_risk(m.train_tree(t.split[0]), t.features.withColumn("internet_share", F.col("internet_share") * 4))
+
+
+@query("coefficient_ranking_figures")
+def coefficient_ranking_figures(t: Tables):
+    return m.coefficient_ranking(t.spark, m.train_logistic(t.split[0]))
+
+
+@query("feature_importance_figures")
+def feature_importance_figures(t: Tables):
+    return m.feature_importance(t.spark, m.train_tree(t.split[0]))
+
+
+@query("model_comparison_figures")
+def model_comparison_figures(t: Tables):
+    train, test = t.split
+    made = {"logistic": m.train_logistic(train), "tree": m.train_tree(train)}
+    return m.model_comparison({name: m.binary_metrics(m.predict(model, test)) for name, model in made.items()})

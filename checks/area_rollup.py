@@ -8,7 +8,9 @@ from gridops.operators import aggregate as a
 from gridops.operators import ranking as r
 from gridops.plans import serve
 from gridops.schema import CHANNELS, TOTALS
+from gridops.session import scratch_path
 from gridops.sinks import tables as sink
+from gridops.sinks.versioned import StoredTable
 
 _R = ", ".join(f"round({x}, 4) AS {x}" for x in [*CHANNELS, *TOTALS])
 _SUMS = ["total_calls", "total_sms", "total_activity", "internet"]
@@ -291,13 +293,16 @@ _OLD = "(SELECT * FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_to
     "WHERE o_orderstatus = 'F') WHERE r = 1)"
 
 
-def _merge_parts(t: Tables):
-    # Finished orders are the stored table (one per customer and day), all others arrive.
-    orders = t.table("orders")
-    shape = lambda df: df.select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice", "o_orderpriority")
-    finished, others = shape(orders.where("o_orderstatus = 'F'")), shape(orders.where("o_orderstatus <> 'F'"))
-    keys = ["o_custkey", "day"]
-    return sink.insert_ignore(finished.where("false"), finished, keys, ["o_totalprice"]), others, keys
+def _orders(t: Tables, status: str):
+    rows = t.table("orders").where(status)
+    return rows.select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_totalprice", "o_orderpriority")
+
+
+def _stored(t: Tables) -> StoredTable:
+    """Finished orders (one per customer and day), a part per month."""
+    table = StoredTable(t.spark, scratch_path(t.spark, "merge"), ["o_custkey", "day"], place=F.date_format("day", "yyyy-MM"))
+    table.insert_ignore(_orders(t, "o_orderstatus = 'F'"), ["o_totalprice"])
+    return table
 
 
 _NEW = "(SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus <> 'F')"
@@ -311,8 +316,9 @@ _MERGE = "o_custkey, day, o_totalprice, o_orderpriority"
     f"(SELECT 1 FROM {_OLD} o WHERE o.o_custkey = n.o_custkey AND o.day = n.day)",
 )
 def insert_ignore(t: Tables):
-    stored, incoming, keys = _merge_parts(t)
-    return sink.insert_ignore(stored, incoming, keys, ["o_totalprice"])
+    table = _stored(t)
+    table.insert_ignore(_orders(t, "o_orderstatus <> 'F'"), ["o_totalprice"])
+    return table.read()
 
 
 @query(
@@ -322,5 +328,27 @@ def insert_ignore(t: Tables):
     f"ORDER BY o_totalprice DESC, o_orderpriority DESC) AS r FROM {_NEW}) n WHERE r = 1",
 )
 def upsert(t: Tables):
-    stored, incoming, keys = _merge_parts(t)
-    return sink.upsert(stored, incoming, keys, ["o_totalprice"])
+    table = _stored(t)
+    table.upsert(_orders(t, "o_orderstatus <> 'F'"), ["o_totalprice"])
+    return table.read()
+
+
+@query(
+    "merge_rewrites",
+    "SELECT month, count(*) AS rows, bool_or(o_orderstatus = 'P') AS rewritten, false AS rewritten_again FROM "
+    "(SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, * FROM orders WHERE o_orderstatus <> 'O') GROUP BY month",
+)
+def merge_rewrites(t: Tables):
+    """Which months an upsert of open orders into the finished ones writes anew, and whether its repetition does."""
+    key = F.xxhash64("o_orderkey", "o_custkey")
+    rows = t.table("orders").select(key.alias("id"), F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderstatus")
+    table = StoredTable(t.spark, scratch_path(t.spark, "rewrites"), ["id", "month"], place=F.col("month"))
+    table.replace(rows.where("o_orderstatus = 'F'"))
+    folders = [table.manifest()["places"]]
+    for _ in range(2):
+        table.upsert(rows.where("o_orderstatus = 'P'"))
+        folders.append(table.manifest()["places"])
+    # One name per month reaches the plan.
+    moved = [(m, folders[0].get(m) != f, folders[1][m] != f) for m, f in folders[2].items()]
+    told = t.spark.createDataFrame([(m, first, again) for m, first, again in moved], "month string, rewritten boolean, rewritten_again boolean")
+    return table.read().groupBy("month").agg(F.count("*").alias("rows")).join(told, "month").select("month", "rows", "rewritten", "rewritten_again")

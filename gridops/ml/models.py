@@ -1,7 +1,7 @@
 """Risk models on Spark ML: training, persistence, scoring, reports.
 
-Training and scoring run on the executors. Only the fitted model and its six
-coefficients or importances are ever on the driver.
+Training and scoring run on the executors. Only the fitted model, its six
+coefficients or importances and bounded sums are ever on the driver.
 """
 
 from __future__ import annotations
@@ -9,18 +9,19 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridops.functions.scoring import apply_threshold, prediction_label, risk_level
+from gridops.ml.boosting import BoostedModel, Settings, boost
 from gridops.operators.clean import require_columns, validate_feature_ranges
 from gridops.operators.joins import join_risk_anomaly
 from gridops.operators.layout import cached
 from gridops.schema import FEATURES, MODEL_VERSION
-from gridops.session import path_exists, scratch_path
+from gridops.session import path_exists
 
 
 def _fit(train: DataFrame, classifier) -> PipelineModel:
@@ -49,55 +50,50 @@ def train_tree(train: DataFrame, target: str = "target", depth: int = 5, seed: i
 
 
 def train_boosted(
-    train: DataFrame, target: str = "target", rounds: int = 300, weight: str | None = "weight", seed: int = 42
-) -> PipelineModel:
-    """Gradient-boosted trees; ``train`` carries the class weight column (see ``with_class_weight``)."""
-    # Fixed values of the model: rate, depth, leaf size, sampling.
-    gbt = GBTClassifier(
-        labelCol=target,
-        maxIter=rounds,
-        stepSize=0.03,
-        maxDepth=6,
-        minInstancesPerNode=50,
-        subsamplingRate=0.85,
-        featureSubsetStrategy="0.85",
-        seed=seed,
-    )
-    if weight:
-        gbt = gbt.setWeightCol(weight)
-    # Every tenth round is checkpointed; without a folder for it the plan of 300 rounds would be one lineage.
-    context = train.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(train.sparkSession, "boosting"))
-    with cached(_training_set(train, target, *([weight] if weight else []))) as rows:
-        return _fit(rows, gbt)
+    train: DataFrame, target: str = "target", rounds: int = 300, weight: str | None = "weight", seed: int = 42, key: Column | None = None
+) -> BoostedModel:
+    """Leaf-wise boosted trees with at most 31 leaves and L1 and L2 penalties (see ``boosting``).
+
+    ``train`` carries the class weight column (see ``with_class_weight``); ``key`` names a row for the sampling.
+    """
+    rows = require_columns(train, [*FEATURES, target, *([weight] if weight else [])])
+    return boost(rows, FEATURES, target, weight, key, Settings(rounds=rounds, seed=seed))
+
 
+Model = PipelineModel | BoostedModel
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
 
+def save_model(model: Model, path: str, spark: SparkSession | None = None) -> None:
+    """Replace what is at ``path`` by the model."""
+    if isinstance(model, BoostedModel):
+        model.save(spark or SparkSession.active(), path)
+    else:
+        model.write().overwrite().save(path)
 
-def load_model(spark: SparkSession, path: str) -> PipelineModel:
+
+def load_model(spark: SparkSession, path: str) -> Model:
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    return PipelineModel.load(path)
+    return PipelineModel.load(path) if path_exists(spark, f"{path}/metadata") else BoostedModel.load(spark, path)
 
 
-def score_probability(model: PipelineModel, features: DataFrame) -> DataFrame:
+def score_probability(model: Model, features: DataFrame) -> DataFrame:
     """Add ``risk_score``: probability of class 1, 0.0 if the model never saw class 1."""
+    if isinstance(model, BoostedModel):
+        return require_columns(features, FEATURES).withColumn("risk_score", model.risk())
     scored = model.transform(require_columns(features, FEATURES))
     risk = F.coalesce(F.get(vector_to_array("probability"), 1), F.lit(0.0))
     return scored.select(*features.columns, risk.alias("risk_score"))
 
 
-def predict(model: PipelineModel, rows: DataFrame, threshold: float = 0.5) -> DataFrame:
+def predict(model: Model, rows: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Score, 0/1 prediction and its label."""
     scored = score_probability(model, rows).withColumn("prediction", apply_threshold("risk_score", threshold))
     return scored.withColumn("prediction_label", prediction_label("prediction"))
 
 
 def risk_scores(
-    model: PipelineModel, features: DataFrame, anomalies: DataFrame | None, version: str = MODEL_VERSION
+    model: Model, features: DataFrame, anomalies: DataFrame | None, version: str = MODEL_VERSION
 ) -> DataFrame:
     """Score, level and model version of every feature row, with its anomaly columns."""
     required = require_columns(features, ["grid_id", "feature_timestamp", *FEATURES])
@@ -107,10 +103,14 @@ def risk_scores(
     return join_risk_anomaly(scored, anomalies)
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def importances(model: Model) -> list[float]:
+    """Importance of each feature of a tree model."""
+    return model.importances() if isinstance(model, BoostedModel) else [float(v) for v in model.stages[-1].featureImportances.toArray()]
+
+
+def feature_importance(spark: SparkSession, model: Model) -> DataFrame:
     """(feature, importance) of a tree model, highest first."""
-    values = [float(v) for v in model.stages[-1].featureImportances.toArray()]
-    rows = list(zip(FEATURES, values, strict=True))
+    rows = list(zip(FEATURES, importances(model), strict=True))
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
@@ -123,13 +123,13 @@ def coefficient_ranking(spark: SparkSession, model: PipelineModel) -> DataFrame:
     )
 
 
-def contributing_features(model: PipelineModel, n: int = 3) -> list[str]:
+def contributing_features(model: Model, n: int = 3) -> list[str]:
     """The most important features of a tree model, zero importance left out."""
-    pairs = sorted(zip(FEATURES, model.stages[-1].featureImportances.toArray(), strict=True), key=lambda p: -p[1])
+    pairs = sorted(zip(FEATURES, importances(model), strict=True), key=lambda p: -p[1])
     return [name for name, value in pairs[:n] if value > 0]
 
 
-def predict_risk(model: PipelineModel, rows: DataFrame, version: str = MODEL_VERSION) -> DataFrame:
+def predict_risk(model: Model, rows: DataFrame, version: str = MODEL_VERSION) -> DataFrame:
     """Score (4 decimals), level, version, note and contributing features per row.
 
     Rows outside the allowed ranges stay in the result without a score, with the

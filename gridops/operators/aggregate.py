@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gridops.functions.time import hours_before
 from gridops.operators.clean import derive_totals, latest
 from gridops.schema import CHANNELS
+from gridops.session import scratch_path
 
 _SUMS = ["total_calls", "total_sms", "total_activity", "internet"]
 
@@ -82,26 +83,50 @@ def busiest_grid(hourly: DataFrame, as_of=None) -> DataFrame:
     return _highest(hourly.where(F.col("timestamp") <= latest(hourly, as_of)), "grid_id", "grid_id")
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], column: str, q: float) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], column: str, q: float, cells: int = 1024) -> DataFrame:
     """Per group ``cut``: the smallest value with a share of at least ``q`` of the non-null values at or below it.
 
-    Two steps of counts: over whole numbers, to find the one that the rank falls into,
-    then over the distinct values of that one. No step holds the values of a group in one task.
+    Every group starts from its own smallest and largest value. A round cuts that range into equal cells, counts
+    the values in each and goes on with the cell that the rank falls into, cut to the values it
+    has, until that is one value: values that spread evenly take two or three rounds. Only counts per
+    cell are shuffled, summed up before; no step holds, sorts or windows the values of a group, and what a
+    window runs over are the ``cells`` counts of one group. Ranges are written tables, one row per group.
     """
-    values = df.select(*keys, F.col(column).alias("cut")).where(F.col("cut").isNotNull())
-    whole = values.groupBy(*keys, F.floor("cut").alias("whole")).agg(F.count("*").alias("n"))
-    group = Window.partitionBy(*keys)
-    upto = F.sum("n").over(group.orderBy("whole").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = whole.withColumns({"upto": upto, "total": F.sum("n").over(group)})
-    rank = F.greatest(F.ceil(F.col("total") * q), F.lit(1))
-    reached = ranked.where(F.col("upto") >= rank).withColumn("rest", rank - F.col("upto") + F.col("n"))
-    places = reached.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min(F.struct("whole", "rest")).alias("place"))
-    here = F.floor("cut") == F.col("place.whole")
-    for k in keys:
-        here = here & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    inside = values.join(places, here).groupBy(*keys, "cut", F.col("place.rest").alias("rest")).agg(F.count("*").alias("n"))
-    running = inside.withColumn("upto", F.sum("n").over(group.orderBy("cut").rowsBetween(Window.unboundedPreceding, 0)))
-    return running.where(F.col("upto") >= F.col("rest")).groupBy(*keys).agg(F.min("cut").alias("cut"))
+    number = F.col(column).cast("double")
+    values = df.where(F.col(column).isNotNull() & ~F.isnan(number)).select(*keys, F.col(column).alias("cut"))
+    names = [f"__{k}" for k in keys]
+    ranges = values.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).agg(
+        F.min("cut").alias("low"), F.max("cut").alias("high"), F.greatest(F.ceil(F.count("*") * q), F.lit(1)).alias("rank")
+    )
+    ranges = _written(ranges, "ranges")
+    found = ranges.where(F.col("low").eqNullSafe(F.col("high")))
+    open_ = ranges.where(F.col("low") < F.col("high"))
+    half = lambda c: F.col(c).cast("double") / 2  # noqa: E731  # the width of a range may be beyond a double
+    while not open_.isEmpty():
+        here = F.col("cut").between(F.col("low"), F.col("high"))
+        for k, n in zip(keys, names, strict=True):
+            here = here & F.col(k).eqNullSafe(F.col(n))
+        share = F.try_divide(half("cut") - half("low"), half("high") - half("low"))
+        cell = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * cells), F.lit(cells - 1))
+        if keys:
+            inside = values.join(open_, here)
+        else:  # one range: its ends are scalars of the plan
+            inside = values.withColumns({c: open_.agg(F.max(c)).scalar() for c in ("low", "high", "rank")}).where(here)
+        counts = inside.groupBy(*names, "rank", cell.alias("cell")).agg(
+            F.count("*").alias("n"), F.min("cut").alias("low"), F.max("cut").alias("high")
+        )
+        upto = F.sum("n").over(Window.partitionBy(*names).orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
+        reached = counts.withColumn("upto", upto).where((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
+        ranges = _written(reached.select(*names, "low", "high", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank")), "ranges")
+        found = found.union(ranges.where(F.col("low") == F.col("high")))
+        open_ = ranges.where(F.col("low") < F.col("high"))
+    return found.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], F.col("low").alias("cut"))
+
+
+def _written(df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def baseline_median(df: DataFrame, keys: list[str], column: str = "total_activity", exact: bool = False) -> DataFrame:
@@ -109,7 +134,7 @@ def baseline_median(df: DataFrame, keys: list[str], column: str = "total_activit
 
     ``percentile_approx`` merges bounded sketches and is off by at most a
     10,000th of the group in rank, which is nothing for the days of one hour and
-    grid. ``exact`` counts values in two steps instead, for groups of any size.
+    grid. ``exact`` narrows the range of each group by counts instead, for groups of any size.
     """
     if exact:
         return exact_quantiles(df, keys, column, 0.5).withColumnRenamed("cut", "baseline_activity")

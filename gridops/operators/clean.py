@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,7 +155,16 @@ def latest(df: DataFrame, as_of=None, column: str = "timestamp") -> Column:
 
 
 def activity_window(hourly: DataFrame, grid_id: int, as_of=None, date=None, hour: int | None = None) -> DataFrame:
-    """Rows of one grid in the 24 hours that end at ``as_of`` (both ends in), by time."""
+    """Rows of one grid in the 24 hours that end at ``as_of`` (both ends in), by time.
+
+    A grid outside of the city, an hour that is none, or a date that is none, is an error before anything is read.
+    """
+    if not GRID_MIN <= grid_id <= GRID_MAX:
+        raise ValueError(f"grid_id must be between {GRID_MIN} and {GRID_MAX}, not {grid_id}")
+    if hour is not None and not 0 <= hour <= 23:
+        raise ValueError(f"hour must be between 0 and 23, not {hour}")
+    if isinstance(date, str):
+        datetime.strptime(date, "%Y-%m-%d")
     end = latest(hourly, as_of)
     rows = hourly.where((F.col("grid_id") == grid_id) & F.col("timestamp").between(hours_before(end), end))
     if date is not None:

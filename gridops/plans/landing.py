@@ -8,7 +8,8 @@ are overwritten, and files with an audit row are never read again.
 
 from __future__ import annotations
 
-from contextlib import ExitStack
+from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +51,43 @@ def landing_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
     ).where(F.trim("value") != "")
 
 
-def _headers(files: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per file: header columns (NULL for an empty file) and number of data rows."""
-    first = F.min_by("value", F.struct("block", "line"))
-    found = lines.groupBy("filename").agg(first.alias("first_line"), (F.count("*") - 1).alias("row_count"))
-    names = files.select(F.col("file_name").alias("filename"))
+def _cells(width: int = len(RAW_COLUMNS)) -> list[Column]:
+    """The cells of a line in order, trimmed, an empty one as NULL; then what goes beyond them."""
+    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width + 1)))
+    return [*(F.nullif(F.trim(fields[f"c{i}"]), F.lit("")) for i in range(width)), fields[f"c{width}"]]
+
+
+def survey_files(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """Per file ``filename, header, row_count, long_rows, places``: all that the checks need, from one pass over the text.
+
+    The names of the columns are known only once the first line is, so every check is counted at every
+    place of a line, and read later at the place that the header gives it. ``places`` has a struct per place:
+    cells that are no timestamp, missing, no whole number, no number, negative. The header line counts like
+    any other. One row per file is shuffled for each task that reads it.
+    """
+    width = len(RAW_COLUMNS)
+    named = lines.select("filename", "value", "block", "line", F.array(*_cells()).alias("cells"))
+    places = []
+    for i in range(width):
+        cell = F.get("cells", F.lit(i))
+        given, number = cell.isNotNull(), cell.try_cast("double")
+        counts = {
+            "no_time": parse_timestamp(cell).isNull(),
+            "missing": ~given,
+            "no_id": given & stored_integer(cell).isNull(),
+            "text": given & number.isNull(),
+            "negative": number < 0,
+        }
+        places.append(F.struct(*(F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items())))
+    found = named.groupBy("filename").agg(
+        F.min_by("value", F.struct("block", "line")).alias("first_line"),
+        (F.count("*") - 1).alias("row_count"),
+        F.count_if(F.get("cells", F.lit(width)).isNotNull()).alias("long_rows"),
+        F.array(*places).alias("places"),
+    )
     header = F.split(F.regexp_replace("first_line", '"', ""), ",")
-    return names.join(found, "filename", "left").select(
-        "filename", header.alias("header"), F.coalesce("row_count", F.lit(0)).alias("row_count")
+    return files.select(F.col("file_name").alias("filename")).join(found, "filename", "left").select(
+        "filename", header.alias("header"), F.coalesce("row_count", F.lit(0)).alias("row_count"), "long_rows", "places"
     )
 
 
@@ -80,9 +110,13 @@ def _schema_failure() -> Column:
     )
 
 
-def validate_schema(files: DataFrame, lines: DataFrame) -> DataFrame:
-    """Per file: filename, is_valid, reason of the first failure (or pass), row_count, header."""
-    checked = _headers(files, lines).withColumn("failure", _schema_failure())
+def validate_schema(files: DataFrame, lines: DataFrame, survey: DataFrame | None = None) -> DataFrame:
+    """Per file: filename, is_valid, reason of the first failure (or pass), row_count, header.
+
+    ``survey`` takes the result of :func:`survey_files`, if there is one already.
+    """
+    survey = survey_files(files, lines) if survey is None else survey
+    checked = survey.withColumn("failure", _schema_failure())
     return checked.select(
         "filename",
         F.col("failure").isNull().alias("is_valid"),
@@ -94,56 +128,37 @@ def validate_schema(files: DataFrame, lines: DataFrame) -> DataFrame:
 
 def _parsed(lines: DataFrame, headers: DataFrame) -> DataFrame:
     """Lines of files with a good header, as text columns named by that header (the header line included)."""
-    width = len(RAW_COLUMNS)
-    fields = F.from_csv("value", ", ".join(f"c{i} string" for i in range(width + 1)))
+    *cells, beyond = _cells()
     rows = lines.join(bounded_broadcast(headers.select("filename", "header")), "filename")
-    rows = rows.withColumn("f", fields).withColumn("cells", F.array(*[F.col(f"f.c{i}") for i in range(width)]))
-    named = {c: F.get("cells", F.array_position("header", F.lit(c)).cast("int") - 1) for c in RAW_COLUMNS}
-    return rows.withColumn("extra", F.col(f"f.c{width}")).withColumns(
-        {c: F.nullif(F.trim(cell), F.lit("")) for c, cell in named.items()}
-    )
+    rows = rows.withColumns({"cells": F.array(*cells), "extra": beyond})
+    return rows.withColumns({c: F.get("cells", F.array_position("header", F.lit(c)).cast("int") - 1) for c in RAW_COLUMNS})
 
 
-def validate_minimum_quality(
-    files: DataFrame, lines: DataFrame, strict: bool = False, headers: DataFrame | None = None
-) -> DataFrame:
-    """Per file, first failure of: zero rows, missing columns, bad timestamps, missing grid ids.
+def validate_minimum_quality(files: DataFrame, lines: DataFrame, strict: bool = False, survey: DataFrame | None = None) -> DataFrame:
+    """Per file, first failure of: zero rows, missing columns, bad timestamps, missing grid ids, ids that are not whole.
 
     ``strict`` also refuses text or negative values in the activity columns. The
-    header line never parses as a timestamp, so one malformed line is expected.
-    ``headers`` takes the result of :func:`validate_schema`, if there is one already.
+    header line is no timestamp, whole number or number, so one of each is expected.
+    ``survey`` takes the result of :func:`survey_files`, if there is one already.
     """
-    headers = _headers(files, lines) if headers is None else headers.select("filename", "header", "row_count")
-    required = F.array(*[F.lit(c) for c in RAW_COLUMNS])
-    complete = headers.where(F.size(F.array_except(required, F.col("header"))) == 0)
-    data = parse_timestamp("datetime").isNotNull()
+    survey = survey_files(files, lines) if survey is None else survey
+    at = lambda c: F.get("places", F.array_position("header", F.lit(c)).cast("int") - 1)
     channels = RAW_COLUMNS[3:]
-    # Stored ids are whole numbers; a file with any other is refused.
-    ids = [F.col(c) for c in ID_COLUMNS]
-    bad_ids = [F.count_if(data & i.isNotNull() & stored_integer(i).isNull()) for i in ids]
-    as_text = [F.count_if(data & F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()) for c in channels]
-    strict_counts = []
-    for c in channels:
-        number = F.col(c).try_cast("double")
-        strict_counts.append(F.count_if(data & F.col(c).isNotNull() & number.isNull()).alias(f"text_{c}"))
-        strict_counts.append(F.count_if(data & (number < 0)).alias(f"negative_{c}"))
-    counts = (
-        _parsed(lines, complete)
-        .groupBy("filename")
-        .agg(
-            (F.count_if(~data) - 1).alias("bad_timestamps"),
-            F.count_if(F.col("CellID").isNull()).alias("null_grids"),
-            F.count_if(F.col("extra").isNotNull()).alias("long_rows"),
-            sum(bad_ids[1:], bad_ids[0]).alias("bad_ids"),
-            sum(as_text[1:], as_text[0]).alias("as_text"),
-            *(strict_counts if strict else []),
-        )
-    )
+    total = lambda name, columns: sum((at(c)[name] - 1 for c in columns[1:]), at(columns[0])[name] - 1)
+    counts = {
+        "bad_timestamps": at("datetime")["no_time"] - 1,
+        "null_grids": at("CellID")["missing"],
+        # Stored ids are whole numbers; a file with any other is refused.
+        "bad_ids": total("no_id", ID_COLUMNS),
+        "as_text": total("text", channels),
+    }
+    if strict:
+        counts |= {f"text_{c}": at(c)["text"] - 1 for c in channels} | {f"negative_{c}": at(c)["negative"] for c in channels}
     say = lambda text, n: F.concat(F.lit(QUALITY_FAILED + text), F.col(n).cast("string"))
-    missing = F.array_except(required, F.col("header"))
+    missing = F.array_except(F.array(*[F.lit(c) for c in RAW_COLUMNS]), F.col("header"))
     failure = (
         F.when(F.col("header").isNull(), READ_ERROR + "no columns to parse from file")
-        .when(F.col("long_rows") > 0, F.concat(F.lit(READ_ERROR + "rows with too many fields: "), F.col("long_rows")))
+        .when((F.size(missing) == 0) & (F.col("long_rows") > 0), F.concat(F.lit(READ_ERROR + "rows with too many fields: "), F.col("long_rows")))
         .when(F.col("row_count") == 0, QUALITY_FAILED + "file contains zero rows")
         .when(
             F.size(missing) > 0,
@@ -162,16 +177,12 @@ def validate_minimum_quality(
     passed = F.when(
         F.col("as_text") > 0, F.concat(F.lit(QUALITY_PASSED + AS_TEXT), F.col("as_text").cast("string"))
     ).otherwise(QUALITY_PASSED)
-    return (
-        headers.join(counts, "filename", "left")
-        .withColumn("failure", failure)
-        .select(
-            "filename",
-            F.col("failure").isNull().alias("is_valid"),
-            F.coalesce("failure", passed).alias("reason"),
-            "row_count",
-            "header",
-        )
+    return survey.withColumns(counts).withColumn("failure", failure).select(
+        "filename",
+        F.col("failure").isNull().alias("is_valid"),
+        F.coalesce("failure", passed).alias("reason"),
+        "row_count",
+        "header",
     )
 
 
@@ -225,30 +236,20 @@ def _write_by_file(df: DataFrame, path: str) -> None:
     writer.partitionBy("source_file").parquet(path)
 
 
-def ingest_landing(
-    spark: SparkSession,
-    landing: str,
-    raw: str,
-    rejected: str,
-    audit: str,
-    processed_at: str,
-    files: DataFrame | None = None,
-) -> DataFrame:
-    """Ingest the landing folder (or just ``files``); returns filename, status, row_count, reason.
+@contextmanager
+def routed_files(spark: SparkSession, pending: DataFrame, skipped: DataFrame, raw: str, rejected: str) -> Iterator[DataFrame]:
+    """Decide on the files of ``pending`` and write their rows; the decisions (see :func:`route_files`), kept while in use.
 
-    ``processed_at`` is the run's ISO UTC time and identifies its audit rows.
-    ``raw`` and ``rejected`` are Parquet tables partitioned by ``source_file``,
-    ``audit`` is an append-only Parquet table.
+    The text is read twice: once for all checks of all files, once for its rows, each file by the one write it belongs to.
     """
-    files = discover_files(spark, landing) if files is None else files
-    skipped = already_processed(files, read_audit(spark, audit))
     with ExitStack() as kept_small:
         # One row per file each, used by several steps below.
         keep = lambda df: kept_small.enter_context(cached(df))
-        pending = keep(files.join(skipped.select("file_name"), "file_name", "left_anti"))
+        pending = keep(pending)
         lines = landing_lines(spark, pending)
-        schema = keep(validate_schema(pending, lines))
-        results = keep(route_files(schema, validate_minimum_quality(pending, lines, headers=schema), skipped))
+        survey = keep(survey_files(pending, lines))
+        checks = [check(pending, lines, survey=survey) for check in (validate_schema, validate_minimum_quality)]
+        results = keep(route_files(*checks, skipped))
         valid = results.where(F.col("status") == "VALID")
         # Either write reads only the files that it is about.
         of = lambda some: landing_lines(spark, pending.join(some.select(F.col("filename").alias("file_name")), "file_name", "left_semi"))
@@ -260,5 +261,27 @@ def ingest_landing(
         if not refused.isEmpty():
             lost = of(refused).join(bounded_broadcast(refused), "filename")
             _write_by_file(lost.select("value", "reason", F.col("filename").alias("source_file")), rejected)
+        yield results
+
+
+def ingest_landing(
+    spark: SparkSession,
+    landing: str,
+    raw: str,
+    rejected: str,
+    audit: str,
+    processed_at: str,
+    files: DataFrame | None = None,
+) -> DataFrame:
+    """Ingest the landing folder (or just ``files``); returns filename, status, row_count, reason.
+
+    ``processed_at`` is the run's ISO UTC time and identifies its audit rows.
+    ``raw`` and ``rejected`` are Parquet tables partitioned by ``source_file``,
+    ``audit`` is an append-only Parquet table.
+    """
+    files = discover_files(spark, landing) if files is None else files
+    skipped = already_processed(files, read_audit(spark, audit))
+    pending = files.join(skipped.select("file_name"), "file_name", "left_anti")
+    with routed_files(spark, pending, skipped, raw, rejected) as results:
         log = append_audit(results, audit, processed_at)
     return log.where(F.col("processed_at") == processed_at).drop("processed_at")

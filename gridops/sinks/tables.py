@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridops.functions.geo import area_centroid
 from gridops.functions.time import parse_timestamp, time_key
 from gridops.schema import AUDIT_SCHEMA, CHANNELS
+from gridops.sinks.versioned import StoredTable, one_per_key
 
 
 def build_dim_time(hourly: DataFrame) -> DataFrame:
@@ -37,23 +38,13 @@ def build_fact(hourly: DataFrame) -> DataFrame:
     return hourly.select("grid_id", time_key("timestamp").alias("time_key"), *CHANNELS, "total_activity")
 
 
-def _one_per_key(df: DataFrame, keys: list[str], pick, order_by: list[str]) -> DataFrame:
-    # min/max of a struct has partial aggregation, so a key with many copies
-    # collapses before the shuffle, and the surviving row is deterministic.
-    order = [c for c in order_by if c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    row = pick(F.struct(*order, *rest)) if order or rest else F.lit(None)
-    fields = [F.col(f"_row.{c}").alias(c) for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(row.alias("_row")).select(*keys, *fields).select(*df.columns)
-
-
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:
     """``target`` plus the incoming rows whose key it lacks; existing rows stay as they are.
 
     Of several incoming rows with one key the first by ``order_by``, then by the
     other columns, is kept. Running it again changes nothing.
     """
-    fresh = _one_per_key(incoming, keys, F.min, order_by or [])
+    fresh = one_per_key(incoming, keys, F.min, order_by or [])
     return target.unionByName(fresh.join(target.select(*keys), keys, "left_anti"))
 
 
@@ -63,17 +54,28 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], order_by: li
     Of several incoming rows with one key the last by ``order_by``, then by the
     other columns, wins. Running it again changes nothing.
     """
-    latest = _one_per_key(incoming, keys, F.max, order_by or [])
+    latest = one_per_key(incoming, keys, F.max, order_by or [])
     return target.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
 
 
 def truncate_reload(df: DataFrame, path: str, timestamp_column: str = "timestamp") -> DataFrame:
     """Replace the table at ``path`` by ``df``; malformed timestamps become NULL.
 
-    ``df`` must not be read from ``path`` itself.
+    The rows are written beside the old ones and the version is switched last (see ``versioned``): a run that
+    dies or fails leaves the old table, and ``df`` may be read from it. Read it with ``read_reloaded``.
     """
-    df.withColumn(timestamp_column, parse_timestamp(timestamp_column)).write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = _reloaded(df.sparkSession, path)
+    table.replace(df.withColumn(timestamp_column, parse_timestamp(timestamp_column)))
+    return table.read()
+
+
+def read_reloaded(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``truncate_reload`` wrote last."""
+    return _reloaded(spark, path).read()
+
+
+def _reloaded(spark: SparkSession, path: str) -> StoredTable:
+    return StoredTable(spark, path, [], place=F.lit("all"))
 
 
 def append_audit(results: DataFrame, path: str, processed_at: str) -> DataFrame:

@@ -108,13 +108,71 @@ def test_quality_names_missing_columns(spark, zone):
 
 
 def test_stream_of_arrivals_sees_new_files_only(spark, zone, fresh):
-    args = (*zone, str(fresh / "arrivals"), str(fresh / "checkpoint"))
+    args = (*zone, str(fresh / "checkpoint"))
     assert outcome(ingest_arrivals(spark, *args, NOW)) == WANT
     assert outcome(ingest_arrivals(spark, *args, "2024-02-02T00:00:00+00:00")) == {}
     (fresh / "landing" / name(20)).write_text(good(20, 5))
     late = outcome(ingest_arrivals(spark, *args, "2024-02-03T00:00:00+00:00"))
     assert late == {name(20): ("VALID", 5, "SCHEMA_AND_QUALITY_VALIDATION_PASSED")}
     assert spark.read.parquet(zone[1]).count() == 6 + 5
+    log = spark.read.parquet(zone[3])
+    assert log.count() == len(WANT) + 1 and log.where(f"filename = '{name(20)}'").first().processed_at.startswith("2024-02-03")
+
+
+def test_run_over_new_files_reads_no_old_row(spark, zone, fresh):
+    args = (*zone, str(fresh / "checkpoint"))
+    ingest_arrivals(spark, *args, NOW)
+    # What was ingested and logged before can no longer be read.
+    for old in [*(fresh / "raw").rglob("*.parquet"), *(fresh / "rejected").rglob("*.parquet"), *(fresh / "audit").rglob("*.parquet")]:
+        (old.parent / f".{old.name}.crc").unlink(missing_ok=True)
+        old.write_bytes(b"no longer readable")
+    (fresh / "landing" / name(20)).write_text(good(20, 5))
+    assert outcome(ingest_arrivals(spark, *args, NOW)) == {name(20): ("VALID", 5, "SCHEMA_AND_QUALITY_VALIDATION_PASSED")}
+
+
+def test_batch_that_spark_repeats_is_told_by_its_number(spark, zone, fresh):
+    args = (*zone, str(fresh / "checkpoint"))
+    ingest_arrivals(spark, *args, NOW)
+    before = {p.name for p in (fresh / "raw").rglob("*.parquet")}
+    for commit in (fresh / "checkpoint" / "commits").iterdir():
+        commit.unlink()  # as if the run had died before its commit
+    again = outcome(ingest_arrivals(spark, *args, "2024-02-02T00:00:00+00:00"))
+    assert again == {k: v for k, v in WANT.items() if k != name(8)}  # the empty file is no part of the stream
+    assert {p.name for p in (fresh / "raw").rglob("*.parquet")} == before
+    # Without its log the batch is done again, and replaces what it wrote.
+    for commit in (fresh / "checkpoint" / "commits").iterdir():
+        commit.unlink()
+    (fresh / "audit" / "batch=0" / "_SUCCESS").unlink()
+    ingest_arrivals(spark, *args, "2024-02-03T00:00:00+00:00")
+    assert spark.read.parquet(zone[1]).count() == 6 and {p.name for p in (fresh / "raw").rglob("*.parquet")} != before
+
+
+def test_batches_of_bounded_size(spark, zone, fresh):
+    got = outcome(ingest_arrivals(spark, *zone, str(fresh / "checkpoint"), NOW, files_per_batch=4))
+    assert got == WANT and sorted(p.name for p in (fresh / "audit").glob("batch=?")) == ["batch=0", "batch=1", "batch=2", "batch=3"][: len(list((fresh / "audit").glob("batch=?")))]
+    assert spark.read.parquet(zone[1]).count() == 6
+
+
+def test_every_file_is_read_twice_at_most(spark, zone, monkeypatch):
+    read, lines = [], ld.landing_lines
+
+    def counted(session, files):
+        read.extend(r["file_name"] for r in files.select("file_name").collect())
+        return lines(session, files)
+
+    monkeypatch.setattr(ld, "landing_lines", counted)
+    ld.ingest_landing(spark, *zone, NOW)
+    assert sorted(read) == sorted([*WANT, *WANT])
+
+
+def test_survey_is_one_scan(spark, zone):
+    from gridops.operators.layout import explain_plan
+
+    files = discover_files(spark, zone[0])
+    plan = explain_plan(ld.survey_files(files, ld.landing_lines(spark, files)))
+    assert plan.count("FileScan text") + plan.count("Scan text") >= 1
+    assert len([line for line in plan.splitlines() if line.strip().startswith(("+- FileScan text", "* FileScan text"))]) <= 1
+    assert "partial_min_by" in plan
 
 
 def test_discovery(spark, zone, fresh):
