@@ -26,9 +26,11 @@ def _query(name: str, table: str, sql: str | None = None):
 @_query(
     "op5_chat_formatting",
     "conversations",
-    """WITH t AS (
-         SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
-                coalesce(floor(turn / 256), -1)::BIGINT AS part FROM conversations),
+    """WITH u AS (
+         SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+       t AS (
+         SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || chr(1) || text)) - 1 AS place,
+                (place // 256)::BIGINT AS part FROM u),
        s AS (SELECT DISTINCT conv_id AS conv, role AS speaker FROM t),
        r AS (
          SELECT t.*, speaker, role = speaker AS own,
@@ -37,7 +39,7 @@ def _query(name: str, table: str, sql: str | None = None):
          FROM t JOIN s ON conv_id IS NOT DISTINCT FROM conv),
        p AS (
          SELECT *, coalesce(sum(length(head) + length(body)) OVER (
-                     PARTITION BY conv_id, speaker, part ORDER BY turn NULLS FIRST, role, text
+                     PARTITION BY conv_id, speaker, part ORDER BY place
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
          FROM r)
        SELECT conv_id, speaker, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridops.llm.common import flat_bytes, mix, slices
+from gridops.llm.common import stage
+from gridops.session import bounded_broadcast
 
 #: The rules of the query, longest wins.
 RULES = (
@@ -21,10 +20,12 @@ RULES = (
     ("com/fr/", "allow"),
     ("com/de/", "block"),
 )
-#: Longest context in characters, slots of the count table per context length, weight of the shorter context.
-ORDER, SLOTS, BACKOFF = 5, 1 << 17, 2.0
-#: Bins of the calibration histogram over scores from -8 to 8 bits a character.
-BINS, SPREAD = 1024, 8.0
+#: Longest context in characters, weight of the shorter context, characters of the uniform model below all contexts.
+ORDER, BACKOFF, ALPHABET = 5, 2.0, 256
+#: What stands before the first character.
+START = "\x01"
+#: Bins of the calibration histogram over scores from -8 to 8 bits a character; folds of the URLs, of which one is not counted.
+BINS, SPREAD, FOLDS = 1024, 8.0, 5
 
 
 def host_of(url: Column) -> Column:
@@ -51,85 +52,64 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]] =
 
 @dataclass
 class RatioModel:
-    """Counts of both classes by context length and slot, and the calibrated threshold."""
+    """Log2 of the ratio of both models by gram (``gram, bits``), and the calibrated threshold."""
 
-    grams: np.ndarray  # 2 x (ORDER + 1) x SLOTS: character after context
-    contexts: np.ndarray  # 2 x (ORDER + 1) x SLOTS: context
+    grams: DataFrame
     threshold: float = 0.0
 
-    def scores(self, urls: pa.Array) -> np.ndarray:
-        """Log2 likelihood of each URL as accepted less as rejected, per character; 0 for none."""
-        where, context, gram, lengths = _slots(urls)
-        bits = []
-        for label in (0, 1):
-            p = np.full(gram.shape[1], 1 / 256)
-            for k in range(ORDER + 1):
-                seen = self.contexts[label, k][context[k]]
-                p = (self.grams[label, k][gram[k]] + BACKOFF * p) / (seen + BACKOFF)
-            bits.append(np.log2(p))
-        sums = np.bincount(where, bits[0] - bits[1], len(urls))
-        return sums / np.maximum(lengths, 1)
-
-
-def _slots(urls: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every character of every URL (bytes in lower case): its URL, and the slots of its contexts and grams."""
-    data, offsets = flat_bytes(pc.ascii_lower(pc.fill_null(urls, "")))
-    lengths = np.diff(offsets)
-    where = np.repeat(np.arange(len(lengths)), lengths)
-    at = np.arange(len(data)) - offsets[:-1][where]
-    # Position k before the character; 0 stands before the start.
-    before = [np.where(at >= k, data[np.maximum(np.arange(len(data)) - k, 0)].astype(np.uint64) + 1, 0) for k in range(ORDER + 1)]
-    h = np.zeros(len(data), np.uint64)
-    context, gram = [], []
-    for k in range(ORDER + 1):
-        if k:
-            h = mix(h * np.uint64(257) + before[k].astype(np.uint64) + np.uint64(k << 12))
-        context.append((h % np.uint64(SLOTS)).astype(np.int64))
-        gram.append((mix(h ^ (before[0].astype(np.uint64) << np.uint64(40))) % np.uint64(SLOTS)).astype(np.int64))
-    return where, np.array(context).reshape(ORDER + 1, -1), np.array(gram).reshape(ORDER + 1, -1), lengths
-
-
-def _counted(urls: DataFrame) -> RatioModel:
-    """Counts over all labelled URLs (``url, accepted``), summed up per task and then per slot.
-
-    A table of fixed size takes the counts, so what reaches the driver and the tasks
-    (at most 2 x 6 x 2 x 2**17 numbers) does not grow with the pages.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 2, ORDER + 1, SLOTS), np.int64)
-        for batch in slices(batches, "url", 1 << 20):
-            label = 1 - batch["accepted"].to_numpy(zero_copy_only=False).astype(np.int64)
-            for side in (0, 1):
-                _, context, gram, _ = _slots(batch["url"].filter(pa.array(label == side)))
-                for k in range(ORDER + 1):
-                    counts[side, 0, k] += np.bincount(gram[k], minlength=SLOTS)
-                    counts[side, 1, k] += np.bincount(context[k], minlength=SLOTS)
-        slot = np.flatnonzero(counts.ravel())
-        yield pa.record_batch([pa.array(slot), pa.array(counts.ravel()[slot])], ["slot", "n"])
-
-    totals = urls.mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = totals.toArrow()
-    counts = np.zeros(2 * 2 * (ORDER + 1) * SLOTS)
-    counts[table["slot"].to_numpy()] = table["n"].to_numpy()
-    counts = counts.reshape(2, 2, ORDER + 1, SLOTS).astype(np.float32)
-    return RatioModel(counts[:, 0], counts[:, 1])
-
-
-def fit(labelled: DataFrame) -> RatioModel:
-    """Model of ``url, accepted`` rows, calibrated on a fifth of the URLs (by hash) that it has not counted.
-
-    The threshold is the score that best separates the two sides of that fifth (mean of
-    both error rates), found on a histogram of fixed size. With no rows on one side it is 0.
+def url_grams(urls: DataFrame) -> DataFrame:
+    """Every character of every URL (A-Z in lower case) with the ``ORDER`` characters before it as ``gram``; other columns stay."""
+    text = F.concat(F.lit(START * ORDER), F.translate("url", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return urls.select(
+        *(c for c in urls.columns if c != "url"),
+        F.explode(F.transform(F.sequence(F.lit(1), F.length("url")), lambda i: F.substring(text, i, F.lit(ORDER + 1)))).alias("gram"),
+    )
+
+
+def gram_ratios(grams: DataFrame) -> DataFrame:
+    """``gram, bits``: log2 of the probability of a gram's last character after the others as accepted, less that as rejected.
+
+    ``grams`` has every gram once with its counts ``a`` and ``r`` on both sides (0 where it was seen on neither).
+    Orders go up from single characters: a character's probability after k others is its count
+    there, with ``BACKOFF`` counts spread as after k - 1, over all counts there. Tables hold each string
+    of an order once, however often it occurs; the largest grows with the distinct grams of the URLs.
+    """
+    orders = [grams.select(F.col("gram").alias("s"), "a", "r")]
+    for _ in range(ORDER):
+        above = orders[-1]
+        orders.append(stage(above.groupBy(F.expr("substring(s, 2)").alias("s")).agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "order"))
+    known = None
+    for k, counts in enumerate(reversed(orders)):
+        after = Window.partitionBy(F.substring("s", 1, k))
+        told = counts.withColumns({f"{c}_all": F.sum(c).over(after) for c in "ar"})
+        if known is None:
+            told = told.withColumns({f"p{c}": F.lit(1.0 / ALPHABET) for c in "ar"})
+        else:
+            told = told.withColumn("shorter", F.expr("substring(s, 2)")).join(known, "shorter")
+        p = {c: (F.col(c) + BACKOFF * F.col(f"p{c}")) / (F.col(f"{c}_all") + BACKOFF) for c in "ar"}
+        known = stage(told.select(F.col("s").alias("shorter"), p["a"].alias("pa"), p["r"].alias("pr")), "probabilities")
+    return known.select(F.col("shorter").alias("gram"), (F.log2("pa") - F.log2("pr")).alias("bits"))
+
+
+def fit(urls: DataFrame) -> RatioModel:
+    """Model of distinct ``url, n, accepted`` rows (``n`` pages each; null where no rule decides).
+
+    Counts are of all decided URLs but a fifth (by hash), on which it is calibrated: the threshold is the
+    score that best separates its two sides (mean of both error rates), found on a
+    histogram of fixed size. With no rows on one side it is 0.
     """
-    fold = F.pmod(F.xxhash64("url"), F.lit(5)) == 0
-    model = _counted(labelled.where(~fold))
-    scored = _scored(labelled.where(fold), model, ["accepted"])
+    held = F.pmod(F.xxhash64("url"), F.lit(FOLDS)) == 0
+    weight = lambda side: F.when(F.col("accepted").eqNullSafe(F.lit(side)) & ~held, F.col("n")).otherwise(0)
+    counted = url_grams(urls.select("url", weight(True).alias("a"), weight(False).alias("r")))
+    grams = stage(counted.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "grams")
+    model = RatioModel(stage(gram_ratios(grams), "ratios"))
     place = F.floor((F.greatest(F.lit(-SPREAD), F.least(F.lit(SPREAD), "score")) + SPREAD) / (2 * SPREAD) * (BINS - 1))
-    rows = scored.groupBy(place.cast("int").alias("bin"), "accepted").count().collect()
+    judged = url_scores(urls.where(held & F.col("accepted").isNotNull()), model, "n", "accepted")
+    rows = judged.groupBy(place.cast("int").alias("bin"), "accepted").agg(F.sum("n").alias("n")).collect()
     sides = np.zeros((2, BINS))
     for r in rows:
-        sides[int(r["accepted"]), r["bin"]] += r["count"]
+        sides[int(r["accepted"]), r["bin"]] += r["n"]
     if sides.sum(axis=1).min() > 0:
         share = sides / sides.sum(axis=1, keepdims=True)
         # Error at each cut: accepted below it, rejected from it on.
@@ -139,30 +119,37 @@ def fit(labelled: DataFrame) -> RatioModel:
     return model
 
 
-def _scored(rows: DataFrame, model: RatioModel, keep: list[str]) -> DataFrame:
-    """``rows`` (``url`` and the columns to keep) with their ``score``."""
+def url_scores(urls: DataFrame, model: RatioModel, *keep: str) -> DataFrame:
+    """``uid, score`` (and the columns to keep) of distinct URLs: mean bits a character."""
+    grams = url_grams(urls.select(uid().alias("uid"), "url", *keep))
+    # Small sums travel, not characters, as long as the table of grams is small enough to be sent out; else it is joined in parts.
+    told = grams.join(bounded_broadcast(model.grams), "gram")
+    return told.groupBy("uid", *keep).agg(F.avg("bits").alias("score"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "url", 1 << 20):
-            yield pa.record_batch([*(batch[c] for c in keep), pa.array(model.scores(batch["url"]))], [*keep, "score"])
 
-    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.select("url", *keep).mapInArrow(run, f"{kinds}, score double")
+def uid() -> Column:
+    """96 bits that stand for a URL where its characters are rows."""
+    return F.struct(F.xxhash64("url").alias("h"), F.crc32(F.col("url").cast("binary")).alias("c"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` of every page.
 
-    A fitting rule decides; else the model, which has learned from all URLs that a rule
-    decides: at least the threshold is ``allow``. ``score`` is given for all. A null
-    URL has empty host and path and score 0; repeated rows each get a row; other
-    columns are ignored; an empty table gives no rows.
+    A fitting rule decides; else the model, which has learned from all URLs that a rule decides:
+    at least the threshold is ``allow``. ``score`` is given for all: log2 likelihood of the
+    characters as accepted, less that as rejected, by their number. What is counted grows with the URLs,
+    and no two grams share a count. A null URL has empty host and path and score 0, as has an empty one;
+    repeated rows each get a row; other columns are ignored; an empty table gives no rows.
     """
     url = F.col(url_col).cast("string")
     rows = pages.select(F.col(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     rows = rows.withColumn("found", matching_rule(F.col("host"), F.col("path"), rules))
-    model = fit(rows.where(F.col("found").isNotNull()).select("url", (F.col("found.verdict") == "allow").alias("accepted")))
-    flat = rows.select("page_id", "url", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("decided"))
-    scored = _scored(flat, model, ["page_id", "host", "path", "rule", "decided"])
+    # The rule follows from the URL, so equal URLs are one.
+    distinct = rows.where(F.length("url") > 0).groupBy("url").agg(F.count("*").alias("n"), (F.max("found.verdict") == "allow").alias("accepted"))
+    distinct = stage(distinct, "urls")
+    model = fit(distinct)
+    scores = stage(url_scores(distinct, model), "scores")
+    flat = rows.select("page_id", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("decided"), uid().alias("uid"))
+    scored = flat.join(scores, "uid", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
     by_model = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
     return scored.select("page_id", "host", "path", "rule", F.coalesce("decided", by_model).alias("verdict"), "score")

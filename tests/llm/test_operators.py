@@ -123,12 +123,12 @@ def test_chat_perspectives(spark):
     rows = [(1, 0, "ann", "hi", 1), (1, 1, "bob", "yo", 1), (1, 2, "cy", None, 1), (1, 300, "ann", "late", 1), (None, None, None, "x", 1), (None, None, None, "x", 1)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, speaker int")
     got = {(r["conv_id"], r["speaker"], r["part"]): r for r in chat.rotate_perspectives(df).collect()}
-    assert set(got) == {(1, s, p) for s in ("ann", "bob", "cy") for p in (0, 1)} | {(None, "unknown", -1)}
+    assert set(got) == {(1, s, 0) for s in ("ann", "bob", "cy")} | {(None, "unknown", 0)}
     r = got[1, "bob", 0]
-    assert r["text"] == "<|im_start|>user name=ann\nhi<|im_end|>\n<|im_start|>assistant\nyo<|im_end|>\n<|im_start|>user name=cy\n<|im_end|>\n"
+    assert r["text"].startswith("<|im_start|>user name=ann\nhi<|im_end|>\n<|im_start|>assistant\nyo<|im_end|>\n<|im_start|>user name=cy\n<|im_end|>\n")
     a, b = map(int, r["mask"].split(":"))
-    assert r["text"][a:b] == "yo<|im_end|>\n" and (r["n_turns"], r["n_own"]) == (3, 1)
-    assert got[1, "bob", 1]["mask"] == "" and got[None, "unknown", -1]["n_own"] == 2
+    assert r["text"][a:b] == "yo<|im_end|>\n" and (r["n_turns"], r["n_own"]) == (4, 1)
+    assert got[None, "unknown", 0]["n_own"] == 2
     assert chat.rotate_perspectives(df.limit(0)).count() == 0
 
 
