@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gridops.llm.common import flat_bytes, slices, stage
 from gridops.llm.units import distinct, word_spans
+from gridops.session import bounded_broadcast
 
 #: Label of texts without a letter.
 UNKNOWN = "und"
@@ -135,16 +136,11 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_words(
-    docs: DataFrame, docs_per_language: int = 400, words_per_language: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"
-) -> list[tuple[str, bytes, int]]:
-    """The bounded sample the network learns from.
+def learned_documents(docs: DataFrame, docs_per_language: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, text`` of the bounded sample that is learned from.
 
     Of the documents that may be learned from (text and language given, not held out),
-    the ``docs_per_language`` whose hashes of id and text are lowest, repeated rows once;
-    of their distinct words, counted over the whole texts, the ``words_per_language``
-    that hash lowest.
-
+    the ``docs_per_language`` whose hashes of id and text are lowest, repeated rows once.
     The documents are not ranked: hashes are counted in 65,536 places a language, which
     tells up to what place the lowest stand, and only rows up to there are looked at.
     """
@@ -155,10 +151,21 @@ def training_words(
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("place")) - F.col("n")
     cuts = counts.withColumn("before", before).where(F.col("before") < docs_per_language).groupBy("lang").agg(F.max("place").alias("cut"))
     # One row per language; then a few hundred documents of each.
-    low = stage(hashed.join(F.broadcast(cuts), "lang").where(F.col("place") <= F.col("cut")).select("lang", "hash", "text").dropDuplicates(["lang", "hash"]), "sample")
+    cuts = bounded_broadcast(stage(cuts, "cuts"))
+    low = stage(hashed.join(cuts, "lang").where(F.col("place") <= F.col("cut")).select("lang", "hash", "text").dropDuplicates(["lang", "hash"]), "sample")
     by_hash = Window.partitionBy("lang").orderBy("hash")
     picked = low.select("lang", "hash").withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= docs_per_language)
-    words = low.join(F.broadcast(picked.drop("n")), ["lang", "hash"]).select("lang", F.explode(F.split("text", "[ \\t-\\r]+")).alias("word"))
+    return low.join(picked.drop("n"), ["lang", "hash"]).select("lang", "text")
+
+
+def training_words(docs: DataFrame, docs_per_language: int = 400, words_per_language: int = 20_000, **columns: str) -> list[tuple[str, bytes, int]]:
+    """``label, word, count`` of the words that the network learns from: see ``sample_words``."""
+    return sample_words(learned_documents(docs, docs_per_language, **columns), words_per_language)
+
+
+def sample_words(sample: DataFrame, words_per_language: int = 20_000) -> list[tuple[str, bytes, int]]:
+    """Of the distinct words of ``lang, text`` rows, counted over the whole texts, the ``words_per_language`` that hash lowest."""
+    words = sample.select("lang", F.explode(F.split("text", "[ \\t-\\r]+")).alias("word"))
     counted = words.where(F.col("word") != "").groupBy("lang", "word").agg(F.count("*").alias("count"))
     by_word = Window.partitionBy("lang").orderBy(F.xxhash64("word"), "word")
     rows = counted.withColumn("n", F.row_number().over(by_word)).where(F.col("n") <= words_per_language).select("lang", "word", "count").collect()
@@ -177,9 +184,28 @@ def classify_texts(net: Network | None, texts: pa.Array) -> tuple[list[str], np.
     Every byte of every word gets log-probabilities; a word weighs its positions' mean,
     a text sums its words and the softmax of that sum is its score.
     """
-    lettered = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+    lettered = _lettered(texts)
     if net is None or not len(texts):
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
+    sums, _ = _word_sums(net, texts)
+    pooled = np.exp(_log_softmax(sums))
+    best = pooled.argmax(axis=1)
+    names = [net.labels[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
+    return names, np.where(lettered, pooled[np.arange(len(best)), best], 0.0)
+
+
+def typical(net: Network, texts: pa.Array) -> np.ndarray:
+    """Mean log-probability of a text's best language over its words: does not depend on the length of a text."""
+    sums, words = _word_sums(net, texts)
+    return sums.max(axis=1, initial=-np.inf) / np.maximum(words, 1)
+
+
+def _lettered(texts: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+
+
+def _word_sums(net: Network, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """By text: the sum of its words' mean log-probabilities, and the number of words."""
     data, offsets = flat_bytes(texts)
     starts, ends, _ = word_spans(data, offsets)
     # Cut words longer than a span.
@@ -200,10 +226,7 @@ def classify_texts(net: Network | None, texts: pa.Array) -> tuple[list[str], np.
                 x = np.frombuffer(b"".join([words[k] for k in some.tolist()]), np.uint8).reshape(-1, size)
                 weights[some] = net.log_probabilities(x).mean(axis=1)
         np.cumsum(weights[which], axis=0, out=sums[1:])
-    pooled = np.exp(_log_softmax(sums[by_text[1:]] - sums[by_text[:-1]]))
-    best = pooled.argmax(axis=1)
-    names = [net.labels[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
-    return names, np.where(lettered, pooled[np.arange(len(best)), best], 0.0)
+    return sums[by_text[1:]] - sums[by_text[:-1]], np.diff(by_text)
 
 
 def predict_language(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,14 +248,41 @@ def predict_language(docs: DataFrame, net: Network | None = None, id_col: str =
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, net: Network | None = None, min_score: float = 0.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that have a language (not ``und``) with ``min_score`` at least, all columns as they are, whatever their names."""
-    net = net or train(docs, id_col=id_col, text_col=text_col)
+def calibrated(sample: DataFrame, net: Network) -> float:
+    """The ``typical`` value below which a text is like none of the ``lang, text`` rows of a bounded sample.
+
+    The least of them still counts as a language, and so does what is not further below it than it is below
+    their median. Two numbers come to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield pa.record_batch([pa.array(typical(net, batch["text"]))], ["value"])
+
+    values = sample.select("text").where(F.col("text").rlike(r"\p{L}")).mapInArrow(run, "value double")
+    told = values.agg(F.min("value").alias("least"), F.percentile_approx("value", 0.5).alias("median")).first()
+    return -np.inf if told["least"] is None else 2 * told["least"] - told["median"]
+
+
+def keep_identified(docs: DataFrame, net: Network | None = None, least: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are in a language, all columns as they are, whatever their names.
+
+    Rejected are texts without a letter, and texts whose words the network finds less typical of any language
+    (mean log-probability, see ``typical``) than ``least``; by default that is ``calibrated`` on the documents learned
+    from, with as much room below the least of them as it is below their median. Where nothing can be learned, every text with a letter stays.
+    """
+    if net is None or least is None:
+        sample = learned_documents(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
+        words = sample_words(sample) if net is None else []
+        net = net or (train_network(words) if words else None)
+        if net is not None and least is None:
+            least = calibrated(sample, net)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            names, scores = classify_texts(net, batch[text])
-            keep = (np.array(names, object) != UNKNOWN) & (scores >= min_score)
+            keep = _lettered(batch[text])
+            if net is not None and len(keep):
+                keep = keep & (typical(net, batch[text]) >= least)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     # By number, as Arrow functions take no column whose name has a dot.

@@ -285,9 +285,9 @@ def test_decontamination(spark, odd, empty):
     }
     df = spark.createDataFrame([*docs.items(), (1, docs[1])], "doc_id long, text string").repartition(3)
     got = {r["doc_id"]: (r["contaminated"], list(r["items"])) for r in decontam.decontaminate(df, bench).collect()}
-    assert got == {1: (True, [1]), 2: (True, [1]), 3: (False, []), 4: (True, [2]), 5: (False, []), 6: (False, []), 7: (False, []), 8: (True, [1]), 9: (False, [])}
+    assert got == {1: (True, [1]), 2: (True, [1]), 3: (False, []), 4: (True, [2]), 5: (True, [2]), 6: (False, []), 7: (False, []), 8: (True, [1]), 9: (True, [3])}
     assert decontam.decontaminate(df, bench).count() == 10
-    assert sorted(r["doc_id"] for r in decontam.drop_contaminated(df, bench).collect()) == [3, 5, 6, 7, 9]
+    assert sorted(r["doc_id"] for r in decontam.drop_contaminated(df, bench).collect()) == [3, 6, 7]
     assert decontam.drop_contaminated(odd, bench).count() == len(ODD) == decontam.decontaminate(odd, bench.limit(0)).count()
     assert decontam.decontaminate(empty, bench).count() == 0
 
@@ -361,12 +361,27 @@ def test_language_of_held_out_documents(documents, odd, empty):
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.95 and all(0 <= r["score"] <= 1 for r in rows)
     got = langid.predict_language(odd, net).collect()
     assert len(got) == len(ODD) and all(r["lang_pred"] == "und" for r in got if r["doc_id"] in (1, 2, 3, 4))
-    kept = langid.keep_identified(odd, net)
+    kept = langid.keep_identified(odd, net, least=-np.inf)
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {None, 5, 6, 7}
     assert langid.predict_language(empty).count() == 0
     assert {r["lang_pred"] for r in langid.predict_language(odd.where("doc_id < 4")).collect()} == {"und"}
 
 
+def test_stage_keeps_what_has_a_language(spark, documents, odd):
+    lettered = {i for i, t in [(r["doc_id"], r["text"]) for r in documents.collect()] if any(c.isalpha() for c in t or "")}
+    assert {r["doc_id"] for r in langid.keep_identified(documents).collect()} == lettered
+    # Without any label every text with a letter stays.
+    bare = documents.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["doc_id"] for r in langid.keep_identified(bare).collect()} == lettered
+    # What no learned text is like goes, however long it is; short clean texts stay.
+    net = langid.train(documents)
+    least = langid.calibrated(langid.learned_documents(documents), net)
+    junk = " ".join("\x7f\x01\x02x\x03\x05" * 3 for _ in range(200))
+    values = langid.typical(net, pa.array([junk, junk[:40], "the", *[r["text"] for r in documents.where("text IS NOT NULL AND lang IS NOT NULL").limit(50).collect()]]))
+    assert least < values[2:].min() and np.isfinite(least)
+    assert langid.keep_identified(spark.createDataFrame([(1, junk, None)], "doc_id long, text string, lang string"), net, least=values[0] + 0.01).count() == 0
+
+
 def test_training_sample_is_bounded_whatever_repeats(spark):
     rows = [(i, f"w{i} same", "aa") for i in range(300)] + [(7, "hot text", "aa")] * 600 + [(i, f"v{i}", "bb") for i in range(5)] + [(9, None, "bb"), (9, "x", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
