@@ -246,6 +246,22 @@ def distinct_profile_approx(t: Tables):
     return p.distinct_profile(t.raw, approximate=True)
 
 
+@query(
+    "distinct_sketches",
+    _each("SELECT '{c}' AS column_name, count(DISTINCT coalesce(CAST(timestamp AS DATE), DATE '1970-01-01')) AS sketches, true AS within_bound FROM raw_activity", _COLUMNS),
+)
+def distinct_sketches(t: Tables):
+    """Sketches per date, merged: whether their estimate is within six standard deviations of the exact number."""
+    dated = t.raw.withColumn("date", F.coalesce(F.to_date("timestamp"), F.lit("1970-01-01").cast("date")))
+    sketches = p.distinct_sketches(dated, "date")
+    told = p.sketched_profile(sketches).join(p.distinct_profile(t.raw).withColumnsRenamed({"distinct_values": "exact", "distinct_with_null": "exact_null"}), "column_name")
+    room = 6 * 0.83 / 2 ** (p.SKETCH_BITS / 2)
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * room
+    counts = sketches.groupBy("column_name").agg(F.count("*").alias("sketches"))
+    fits = close("distinct_values", "exact") & close("distinct_with_null", "exact_null")
+    return told.join(counts, "column_name").select("column_name", "sketches", fits.alias("within_bound"))
+
+
 @query("time_bounds", "SELECT min(timestamp) AS first_timestamp, max(timestamp) AS last_timestamp FROM raw_activity")
 def time_bounds(t: Tables):
     return p.time_bounds(t.raw)

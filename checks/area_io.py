@@ -11,7 +11,7 @@ from checks.registry import query
 from gridops.operators import joins, layout
 from gridops.operators.ranking import top_grids
 from gridops.plans import landing
-from gridops.plans.batch import run_batch
+from gridops.plans.batch import run_batch, run_incremental
 from gridops.schema import CHANNELS, RENAMES
 from gridops.session import scratch_path
 from gridops.sinks import tables as tab
@@ -355,6 +355,22 @@ def run_end_to_end(t: Tables):
     return run_batch(t.spark, _csv(t, t.raw_file), _geojson(t), scratch_path(t.spark, "batch"), pattern=_PARTS)
 
 
+@query(
+    "run_incremental",
+    "SELECT timestamp, grid_id, round(total_activity, 4) AS total_activity, CAST(timestamp AS DATE) > DATE '2024-01-10' AS late FROM hourly",
+)
+def incremental(t: Tables):
+    """The hourly summary after two runs: files of the first days, then those of the others; the second leaves the first days alone."""
+    path, output, geo = scratch_path(t.spark, "days"), scratch_path(t.spark, "incremental"), _geojson(t)
+    early = F.col("datetime") < "2024-01-11"
+    w.write_csv(t.raw_file.where(early), path)
+    run_incremental(t.spark, path, geo, output, _PARTS)
+    t.raw_file.where(~early).write.mode("append").option("header", True).csv(path)
+    anew = run_incremental(t.spark, path, geo, output, _PARTS).select("date", F.lit(True).alias("late"))
+    rows = rounded(t.spark.read.parquet(f"{output}/hourly_grid_summary"), ["total_activity"]).join(anew, "date", "left")
+    return rows.select("timestamp", "grid_id", "total_activity", F.coalesce("late", F.lit(False)).alias("late"))
+
+
 @query("repartition_by_date", "SELECT date, count(*) AS rows FROM clean GROUP BY date")
 def repartition_by_date(t: Tables):
     return layout.repartition_by_date(t.clean.select("date", "grid_id", "timestamp")).groupBy("date").agg(F.count("*").alias("rows"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -27,13 +29,20 @@ def _per_column(df: DataFrame, columns: list[str], measures: dict[str, callable]
 def distinct_profile(df: DataFrame, columns: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """Distinct values per column, without NULL and with NULL counted as a value.
 
-    The exact form expands each row once per column before its map-side distinct;
-    ``approximate`` keeps a sketch per column instead and never expands.
+    The exact form is one distinct per column over that column alone, so no row is expanded and each scan reads one
+    column; ``approximate`` keeps a sketch per column in one pass.
     """
     columns = columns or df.columns
-    count = F.approx_count_distinct if approximate else F.count_distinct
+    if not approximate:
+        parts = [
+            df.select(F.col(c).alias("value")).distinct().agg(
+                F.lit(c).alias("column_name"), F.count("value").alias("distinct_values"), F.count("*").alias("distinct_with_null")
+            )
+            for c in columns
+        ]
+        return reduce(DataFrame.unionByName, parts)
     profile = _per_column(
-        df, columns, {"distinct_values": count, "has_null": lambda c: F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))}
+        df, columns, {"distinct_values": F.approx_count_distinct, "has_null": lambda c: F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))}
     )
     return profile.select(
         "column_name",
@@ -42,6 +51,34 @@ def distinct_profile(df: DataFrame, columns: list[str] | None = None, approximat
     )
 
 
+#: Registers of a sketch as a power of two: estimates are off by 0.83 / sqrt(2**12) = 1.3 % in standard deviation.
+SKETCH_BITS = 12
+
+
+def distinct_sketches(df: DataFrame, by: str, columns: list[str] | None = None) -> DataFrame:
+    """``by, column_name, sketch, has_null``: a sketch of the distinct values of each column for every value of ``by`` (a date, say).
+
+    Sketches merge: keep them per date, add those of new dates, and ask for any range of dates
+    (:func:`sketched_profile`) without a look at the rows. A sketch has a few kilobytes whatever it has seen.
+    """
+    columns = [c for c in (columns or df.columns) if c != by]
+    value = lambda c: F.when(F.col(c).isNotNull(), F.xxhash64(c))
+    wide = df.groupBy(by).agg(
+        *(F.hll_sketch_agg(value(c), SKETCH_BITS).alias(f"s{i}") for i, c in enumerate(columns)),
+        *(F.max(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)),
+    )
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}").alias("sketch"), F.col(f"n{i}").alias("has_null")) for i, c in enumerate(columns)]
+    return wide.select(by, F.inline(F.array(*rows)))
+
+
+def sketched_profile(sketches: DataFrame) -> DataFrame:
+    """The profile of all rows behind the given sketches, estimated."""
+    merged = sketches.groupBy("column_name").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("distinct_values"), F.max(F.col("has_null").cast("int")).alias("has_null")
+    )
+    return merged.select("column_name", "distinct_values", (F.col("distinct_values") + F.col("has_null")).alias("distinct_with_null"))
+
+
 def time_bounds(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return df.agg(F.min(column).alias("first_timestamp"), F.max(column).alias("last_timestamp"))
 

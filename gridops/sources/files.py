@@ -25,7 +25,7 @@ def read_activity_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
-    """One row per file directly in ``directory``: path, file_name, length. Subfolders are not listed, content is not read.
+    """One row per file directly in ``directory``: path, file_name, length, modified (milliseconds). Subfolders are not listed, content is not read.
 
     The names of one folder pass through the driver, empty files included, which no scan shows.
     """
@@ -35,8 +35,8 @@ def list_files(spark: SparkSession, directory: str) -> DataFrame:
     if not system.getFileStatus(own).isDirectory():
         raise NotADirectoryError(directory)
     found = [s for s in system.listStatus(own) if s.isFile()]
-    rows = [(s.getPath().toString(), s.getPath().getName(), s.getLen()) for s in found]
-    return spark.createDataFrame(rows, "path string, file_name string, length bigint")
+    rows = [(s.getPath().toString(), s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in found]
+    return spark.createDataFrame(rows, "path string, file_name string, length bigint, modified bigint")
 
 
 def discover_files(

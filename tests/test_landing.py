@@ -4,7 +4,8 @@ import pytest
 from helpers import rows
 
 from gridops.plans import landing as ld
-from gridops.plans.batch import run_batch
+from gridops.plans import batch
+from gridops.plans.batch import run_batch, run_incremental
 from gridops.sources.files import discover_files, file_provenance, read_activity_csv
 from gridops.streaming.landing import ingest_arrivals
 
@@ -238,3 +239,88 @@ def test_batch_reads_only_files_of_the_pattern(spark, fresh):
     geo.write_text('{"type":"FeatureCollection","features":[{"properties":{"cellId":5},"geometry":{"type":"Point","coordinates":[1,2]}}]}')
     counts = {r["stage"]: r["rows"] for r in run_batch(spark, str(source), str(geo), str(fresh / "out")).collect()}
     assert (counts["read"], counts["rejected"], counts["clean"]) == (1, 0, 1)
+
+
+@pytest.fixture
+def days(fresh):
+    source = fresh / "in"
+    source.mkdir()
+    for d in (1, 2, 3):
+        (source / name(d)).write_text(good(d, 24))
+    ring = [[0, 0], [1, 0], [1, 1], [0, 1], [0, 0]]
+    features = [{"properties": {"cellId": i}, "geometry": {"type": "Polygon", "coordinates": [ring]}} for i in range(1, 24)]
+    (fresh / "grid.geojson").write_text(json.dumps({"features": features}))
+    return source, (str(source), str(fresh / "grid.geojson"), str(fresh / "out"))
+
+
+def changes(df):
+    return {str(r.date): r.change for r in df.collect()}
+
+
+def part_files(fresh):
+    tables = ("clean", "hourly_grid_summary", "enriched", "daily")
+    return {(t, p.name): {f.name for f in p.glob("*.parquet")} for t in tables for p in (fresh / "out" / t).glob("date=*")}
+
+
+def same_as_whole(spark, args, fresh, label):
+    run_batch(spark, args[0], args[1], str(fresh / label))
+    read = lambda root, table: spark.read.parquet(f"{root}/{table}")
+    for table in ("hourly_grid_summary", "enriched"):
+        whole = read(str(fresh / label), table)
+        assert rows(read(args[2], table), *whole.columns) == rows(whole, *whole.columns)
+    columns = [c for c in read(str(fresh / label), "clean").columns if c != "date"]
+    assert rows(read(args[2], "clean"), *columns) == rows(read(str(fresh / label), "clean"), *columns)
+    top = lambda root: rows(spark.read.option("header", True).csv(f"{root}/dashboard"), "grid_id", "total_activity")
+    assert top(args[2]) == top(str(fresh / label))
+
+
+def test_second_run_with_one_new_day_rewrites_one_date(spark, days, fresh):
+    source, args = days
+    assert changes(run_incremental(spark, *args)) == {f"2024-01-0{d}": "added" for d in (1, 2, 3)}
+    same_as_whole(spark, args, fresh, "whole1")
+    before = part_files(fresh)
+    assert changes(run_incremental(spark, *args)) == {} and part_files(fresh) == before
+    (source / name(4)).write_text(good(4, 9))
+    assert changes(run_incremental(spark, *args)) == {"2024-01-04": "added"}
+    after = part_files(fresh)
+    assert {k for k in after if before.get(k) != after[k]} == {(t, "date=2024-01-04") for t in ("clean", "hourly_grid_summary", "enriched", "daily")}
+    same_as_whole(spark, args, fresh, "whole2")
+
+
+def test_changed_and_removed_files(spark, days, fresh):
+    source, args = days
+    run_incremental(spark, *args)
+    # One day's rows move to another, which then has rows of two files; one file goes; one has nothing left.
+    (source / name(1)).write_text(good(2, 5) + "2024-01-02 20:00:00,,39,1,1,1,1,1\n")
+    (source / name(3)).unlink()
+    assert changes(run_incremental(spark, *args)) == {"2024-01-01": "changed", "2024-01-02": "added", "2024-01-03": "changed"}
+    assert {k[1] for k in part_files(fresh)} == {"date=2024-01-02"}
+    same_as_whole(spark, args, fresh, "whole")
+    (source / name(1)).write_text(HEAD + "\n")
+    assert changes(run_incremental(spark, *args)) == {"2024-01-02": "changed"}
+    same_as_whole(spark, args, fresh, "whole2")
+
+
+def test_run_that_dies_is_repeated_in_whole(spark, days, fresh, monkeypatch):
+    source, args = days
+    run_incremental(spark, *args)
+    (source / name(1)).write_text(good(2, 5))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(batch, "hourly_grid_summary", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_incremental(spark, *args)
+    monkeypatch.undo()
+    assert set(changes(run_incremental(spark, *args))) == {"2024-01-01", "2024-01-02"}
+    same_as_whole(spark, args, fresh, "whole")
+
+
+def test_profile_expands_no_row(spark):
+    from gridops.operators.layout import explain_plan
+    from gridops.operators.profile import distinct_profile
+
+    df = spark.createDataFrame([(1, "a", None), (1, None, 2.0), (3, "a", None)], "x int, y string, z double")
+    assert "Expand" not in explain_plan(distinct_profile(df))
+    assert rows(distinct_profile(df), "column_name", "distinct_values", "distinct_with_null") == [("x", 2, 2), ("y", 1, 2), ("z", 1, 2)]
