@@ -137,8 +137,9 @@ def _bins_of(batch: pa.RecordBatch, n: int) -> np.ndarray:
     return np.stack([batch[f"b{i}"].to_numpy() for i in range(n)], axis=1).astype(np.int64)
 
 
-def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[int], tree: int, n: int, s: Settings) -> np.ndarray:
-    """Sums of gradient, hessian and rows: nodes x features x bins x 3."""
+def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[int], tree: int, n: int, s: Settings, few: bool = False) -> np.ndarray:
+    """Sums of gradient, hessian and rows: nodes x features x bins x 3. The sums of ``few`` rows, of which one task
+    or a handful has all, are added up without a shuffle."""
     share, factor = round(s.row_share * 100), DRAW * (2 * tree + 1) % DRAWS
     shape = (len(nodes), n, s.bins)
 
@@ -161,20 +162,22 @@ def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[in
         cells = np.flatnonzero(sums[2])
         yield pa.record_batch([pa.array(cells), *(pa.array(x[cells]) for x in sums)], ["cell", "g", "h", "n"])
 
-    cells = rows.mapInArrow(run, "cell bigint, g bigint, h bigint, n bigint").groupBy("cell").agg(*(F.sum(c).alias(c) for c in "ghn"))
-    table, out = cells.toArrow(), np.zeros((math.prod(shape), 3))
-    for k, (c, unit) in enumerate((("g", UNIT), ("h", UNIT), ("n", 1))):
-        out[table["cell"].to_numpy(), k] = table[c].to_numpy() / unit
-    return out.reshape(*shape, 3)
+    cells = rows.mapInArrow(run, "cell bigint, g bigint, h bigint, n bigint")
+    if not few:
+        cells = cells.groupBy("cell").agg(*(F.sum(c).alias(c) for c in "ghn"))
+    table, out = cells.toArrow(), np.zeros((math.prod(shape), 3), np.int64)
+    for k, c in enumerate("ghn"):
+        np.add.at(out[:, k], table["cell"].to_numpy(), table[c].to_numpy())
+    return (out / np.array([UNIT, UNIT, 1])).reshape(*shape, 3)
 
 
-def grow_tree(rows: DataFrame, trees: list[Tree], number: int, names: list[str], s: Settings) -> Tree:
+def grow_tree(rows: DataFrame, trees: list[Tree], number: int, names: list[str], s: Settings, few: bool = False) -> Tree:
     """The next tree: candidates are split level by level, one pass each, then the best leaves are kept as long as there may be more."""
     columns = sampled_columns(names, number, s)
     full, expand, stats = Tree(), {}, {}
     nodes = [0]
     for _ in range(s.depth):
-        sums = _histogram(rows, trees, full, nodes, number, len(names), s)
+        sums = _histogram(rows, trees, full, nodes, number, len(names), s, few)
         following = []
         for node, own in zip(nodes, sums, strict=True):
             stats[node] = own[0].sum(axis=0)
@@ -309,11 +312,12 @@ def boost(train: DataFrame, names: list[str], target: str = "target", weight: st
         return BoostedModel(list(names), [[] for _ in names], math.inf if one else -math.inf, [], s)
     start, borders = math.log(one / zero), bin_borders(train, names, s.bins)
     rows, trees = binned(train, names, borders, target, weight, key, start), []
+    parts = -(-told["n"] // ROWS_PER_TASK)
     while len(trees) < s.rounds:
         recent: list[Tree] = []
-        with _held(rows, "boosting", -(-told["n"] // ROWS_PER_TASK)) as kept:
+        with _held(rows, "boosting", parts) as kept:
             while len(recent) < block and len(trees) + len(recent) < s.rounds:
-                tree = grow_tree(kept, recent, len(trees) + len(recent), list(names), s)
+                tree = grow_tree(kept, recent, len(trees) + len(recent), list(names), s, few=parts == 1)
                 recent.append(tree)
         trees += recent
         if len(trees) < s.rounds:
