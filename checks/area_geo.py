@@ -127,6 +127,17 @@ def nearby_grids(t: Tables):
     return nearby.nearby_grids(t.cells, 5)
 
 
+@query(
+    "nearby_grids_of_one",
+    "SELECT grid_id, CAST(row_number() OVER (ORDER BY distance_degrees, nearby_grid_id) AS INTEGER) AS position, nearby_grid_id, distance_degrees "
+    "FROM (SELECT a.grid_id, b.grid_id AS nearby_grid_id, round(sqrt((a.lon - b.lon) * (a.lon - b.lon) + (a.lat - b.lat) * (a.lat - b.lat)), 5) "
+    "AS distance_degrees FROM centroids a JOIN centroids b ON a.grid_id = 42 AND b.grid_id <> 42 WHERE b.lon IS NOT NULL) "
+    "ORDER BY distance_degrees, nearby_grid_id LIMIT 20",
+)
+def nearby_grids_of_one(t: Tables):
+    return nearby.nearest_to(t.cells, 42, 20)
+
+
 @query(
     "map_status",
     "SELECT geo.grid_id, geometry, coalesce(status, 'NORMAL') AS status FROM geo LEFT JOIN (SELECT grid_id, 'HIGH' AS status "

@@ -116,6 +116,25 @@ def nearby_grids(cells: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+def nearest_to(cells: DataFrame, grid_id: int, k: int = 5) -> DataFrame:
+    """The answer of :func:`nearby_grids` for one cell: one pass over the cells that keeps ``k`` rows a task.
+
+    No row for a cell that is unknown or has no place.
+    """
+    if not 1 <= k <= 20:
+        raise ValueError("k must be between 1 and 20")
+    placed = cells.select("grid_id", "lon", "lat").where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    own = placed.where(F.col("grid_id") == grid_id).agg(F.min(F.struct("lon", "lat"))).scalar()
+    told = placed.where((F.col("grid_id") != grid_id) & own.isNotNull()).select(
+        F.lit(grid_id).cast(cells.schema["grid_id"].dataType).alias("grid_id"),
+        F.col("grid_id").alias("nearby_grid_id"),
+        degree_distance(own["lon"], own["lat"], "lon", "lat").alias("distance_degrees"),
+    )
+    first = told.orderBy("distance_degrees", "nearby_grid_id").limit(k)
+    position = F.row_number().over(Window.partitionBy("grid_id").orderBy("distance_degrees", "nearby_grid_id"))
+    return first.withColumn("position", position).select("grid_id", "position", "nearby_grid_id", "distance_degrees")
+
+
 def distinct_centroids(geo: DataFrame) -> DataFrame:
     """Centroids shared by more than one cell, with how many share them; empty when all differ."""
     shared = cell_centroids(geo).groupBy("lon", "lat").agg(F.count("*").alias("cells"))

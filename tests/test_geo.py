@@ -121,3 +121,21 @@ def test_shared_centroids_and_location(spark):
     assert nearby.distinct_centroids(cells.where("grid_id <> 2")).isEmpty()
     assert nearby.grid_location(cells, 7).isEmpty()
     assert nearby.grid_location(cells, 3).select(F.round("longitude", 6)).first()[0] == 5.8
+
+
+def test_nearest_of_one_cell_equals_those_of_all(spark, tables):
+    cells = tables.cells
+    every = rows(nearby.nearby_grids(cells, 7).where("grid_id IN (1, 42, 13)"), "grid_id", "position", "nearby_grid_id", "distance_degrees")
+    one = [r for g in (1, 42, 13) for r in rows(nearby.nearest_to(cells, g, 7), "grid_id", "position", "nearby_grid_id", "distance_degrees")]
+    assert sorted(one, key=str) == every and len(one) == 14  # cell 13 has no geometry
+    assert nearby.nearest_to(cells, 999_999).count() == 0
+    with pytest.raises(ValueError):
+        nearby.nearest_to(cells, 1, 21)
+
+
+def test_windows_refuse_what_no_grid_or_hour_is(spark, tables):
+    from gridops.operators.clean import activity_window
+
+    for grid, hour, date in ((0, None, None), (10_001, None, None), (1, 24, None), (1, -1, None), (1, None, "10-01-2024")):
+        with pytest.raises(ValueError):
+            activity_window(tables.hourly, grid, hour=hour, date=date)
