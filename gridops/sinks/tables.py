@@ -75,7 +75,7 @@ def read_reloaded(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _reloaded(spark: SparkSession, path: str) -> StoredTable:
-    return StoredTable(spark, path, [], place=F.lit("all"))
+    return StoredTable(spark, path, [], place="all")
 
 
 def append_audit(results: DataFrame, path: str, processed_at: str) -> DataFrame:

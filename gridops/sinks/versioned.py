@@ -39,12 +39,14 @@ class StoredTable:
     """A keyed Parquet table below ``path`` that merges rewrite in part.
 
     ``place`` is a column of the keys (a date of them, say) that tells in which part of the table a key stands;
-    by default one of ``buckets`` hashes. Its distinct values in one merge pass through the
+    by default one of ``buckets`` hashes; a text is the one place of all rows. Its distinct values in one merge pass through the
     driver, rows never do. All writers of a table must use the same keys and place.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], place: Column | None = None, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], place: Column | str | None = None, buckets: int = 64):
         self.spark, self.path, self.keys = spark, path.rstrip("/"), keys
+        self.only = place if isinstance(place, str) else None
+        place = F.lit(place) if self.only else place
         hashed = F.pmod(F.xxhash64(*keys), F.lit(buckets))
         self.place = F.coalesce((hashed if place is None else place).cast("string"), F.lit("none"))
 
@@ -102,6 +104,9 @@ class StoredTable:
     def _write(self, rows: DataFrame) -> dict[str, str]:
         """Write rows with their place as new data folders; which folder has which place."""
         run = uuid4().hex
+        if self.only:  # nothing to deal out: every task writes what it has as it comes, without a shuffle or a sort
+            rows.drop(_PLACE).write.parquet(f"{self.path}/data/{run}/{_PLACE}={self.only}")
+            return {self.only: f"{run}/{_PLACE}={self.only}"}
         rows.hint("rebalance", _PLACE).write.partitionBy(_PLACE).parquet(f"{self.path}/data/{run}")
         system, own = file_system(self.spark, f"{self.path}/data/{run}")
         folders = [s.getPath().getName() for s in system.listStatus(own) if s.isDirectory()]

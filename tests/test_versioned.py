@@ -96,3 +96,11 @@ def test_merge_reads_only_the_places_it_meets(spark, table):
     manifest = table.manifest()
     plan = explain_plan(table._frame(manifest, {p: f for p, f in manifest["places"].items() if p == "d1"}))
     assert "d1" in plan and "d2" not in plan
+
+
+def test_reload_writes_every_task_for_itself(spark, fresh):
+    path = str(fresh / "reload")
+    rows_ = spark.range(0, 4000, 1, 4).select("id", F.lit("2024-01-01 00:00:00").alias("timestamp"))
+    assert t.truncate_reload(rows_, path).count() == 4000
+    assert len(list(fresh.rglob("*.parquet"))) == 4  # not all rows in one task
+    assert t.truncate_reload(rows_.where("id < 0"), path).count() == 0 and t.read_reloaded(spark, path).columns == ["id", "timestamp"]
