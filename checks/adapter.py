@@ -77,6 +77,11 @@ class Tables:
         sums = hourly_grid_summary(self.clean)
         return c.derive_totals(sums.withColumns({x: F.round(x, 4) for x in CHANNELS}))
 
+    @cached_property
+    def last_grid(self) -> int:
+        """Highest grid of the activity: these tables' city has as many grids as ``events`` has users."""
+        return self.kept.agg(F.max("grid_id")).first()[0]
+
     @cached_property
     def grid_hour(self) -> DataFrame:
         return self.hourly.withColumns({"date": F.to_date("timestamp"), "hour": F.hour("timestamp")})

@@ -142,7 +142,7 @@ def activity_window(t: Tables):
     end = t.hourly.agg(F.max("timestamp")).scalar()
     often = t.hourly.where(F.col("timestamp").between(hours_before(end), end)).groupBy("grid_id").count()
     grid = often.orderBy(F.desc("count"), "grid_id").first()["grid_id"]
-    return rounded(c.activity_window(t.hourly, grid), ["total_sms", "total_calls", "total_activity"])
+    return rounded(c.activity_window(t.hourly, grid, last_grid=t.last_grid), ["total_sms", "total_calls", "total_activity"])
 
 
 @query(
@@ -153,7 +153,8 @@ def activity_window_hour(t: Tables):
     """One hour of one grid: the first that reported on a morning."""
     start, end = (F.lit(f"2024-01-10 0{h}:00:00").cast("timestamp_ntz") for h in (0, 9))
     first = t.hourly.where(F.col("timestamp").between(start, end)).agg(F.min(F.struct("timestamp", "grid_id"))).first()[0]
-    rows = c.activity_window(t.hourly, first["grid_id"], as_of="2024-01-10 09:00:00", date="2024-01-10", hour=first["timestamp"].hour)
+    hour = first["timestamp"].hour
+    rows = c.activity_window(t.hourly, first["grid_id"], as_of="2024-01-10 09:00:00", date="2024-01-10", hour=hour, last_grid=t.last_grid)
     return rounded(rows, ["total_sms", "total_calls", "total_activity"])
 
 

@@ -154,13 +154,16 @@ def latest(df: DataFrame, as_of=None, column: str = "timestamp") -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
-def activity_window(hourly: DataFrame, grid_id: int, as_of=None, date=None, hour: int | None = None) -> DataFrame:
+def activity_window(
+    hourly: DataFrame, grid_id: int, as_of=None, date=None, hour: int | None = None, last_grid: int = GRID_MAX
+) -> DataFrame:
     """Rows of one grid in the 24 hours that end at ``as_of`` (both ends in), by time.
 
     A grid outside of the city, an hour that is none, or a date that is none, is an error before anything is read.
+    ``last_grid`` is the highest grid of the city, for tables of a larger one.
     """
-    if not GRID_MIN <= grid_id <= GRID_MAX:
-        raise ValueError(f"grid_id must be between {GRID_MIN} and {GRID_MAX}, not {grid_id}")
+    if not GRID_MIN <= grid_id <= last_grid:
+        raise ValueError(f"grid_id must be between {GRID_MIN} and {last_grid}, not {grid_id}")
     if hour is not None and not 0 <= hour <= 23:
         raise ValueError(f"hour must be between 0 and 23, not {hour}")
     if isinstance(date, str):

@@ -140,6 +140,21 @@ def test_activity_window_includes_both_ends(spark):
     assert c.activity_window(df, 1, at(50).isoformat(), date="2024-01-03", hour=1).count() == 1
 
 
+def test_activity_window_of_a_larger_city(spark):
+    from types import SimpleNamespace
+
+    from checks.area_clean import activity_window, activity_window_hour
+    from helpers import START, hourly
+
+    zeros = {x: F.lit(0.0) for x in ("total_sms", "total_calls")}
+    df = hourly(spark, [(70_000, 216 + h, 1.0) for h in range(24)] + [(2, 230, 1.0)]).withColumns(zeros)
+    tables = SimpleNamespace(hourly=df, last_grid=70_000)
+    assert START.day == 1 and activity_window(tables).count() == 24
+    assert rows(activity_window_hour(tables), "grid_id", "timestamp") == [(70_000, at(216))]
+    with pytest.raises(ValueError):
+        c.activity_window(df, 70_001, last_grid=70_000)
+
+
 def test_blocked_phrases_read_the_whole_text(spark):
     text = "x" * 50_000 + " The ROOT cause is unknown"
     df = spark.createDataFrame([(text,), ("fine",)], "text string")
