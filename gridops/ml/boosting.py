@@ -1,7 +1,9 @@
 """Leaf-wise gradient boosting on second-order histograms.
 
-Rows stay on the executors: every pass sums gradients and hessians per (node, feature, bin) inside
-a task, then over tasks. What reaches the driver is bounded by the parameters (at most
+Rows stay on the executors. Every level of a tree needs the sums of gradients and hessians per (node, feature,
+bin) of all rows: a pass sums them inside a task, then over tasks. Rows that one task goes through in a pass
+anyway (``ROWS_PER_TASK``) stay in that task for all passes and trees, one job; beyond that every level is a
+job over written rows. Both give the same trees. What reaches the driver is bounded by the parameters (at most
 ``2 ** (depth - 1) * features * bins`` sums a pass), and the model.
 """
 
@@ -10,7 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 
@@ -68,13 +70,17 @@ class Tree:
                 values.append(value)
         return at
 
+    def step(self, at: np.ndarray, bins: np.ndarray) -> np.ndarray:
+        """Where rows of ``bins`` (rows x features) that stand at these nodes stand one level below; in a leaf they stay."""
+        feature, cut, left = np.array(self.feature), np.array(self.cut), np.array(self.left)
+        f = feature[at]
+        return np.where(f >= 0, left[at] + (bins[np.arange(len(bins)), f] > cut[at]), at)
+
     def places(self, bins: np.ndarray) -> np.ndarray:
         """Leaf of each row of ``bins`` (rows x features)."""
-        feature, cut, left = np.array(self.feature), np.array(self.cut), np.array(self.left)
-        at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+        at = np.zeros(len(bins), np.int64)
         for _ in range(max(self.level)):
-            f = feature[at]
-            at = np.where(f >= 0, left[at] + (bins[rows, f] > cut[at]), at)
+            at = self.step(at, bins)
         return at
 
 
@@ -137,9 +143,8 @@ def _bins_of(batch: pa.RecordBatch, n: int) -> np.ndarray:
     return np.stack([batch[f"b{i}"].to_numpy() for i in range(n)], axis=1).astype(np.int64)
 
 
-def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[int], tree: int, n: int, s: Settings, few: bool = False) -> np.ndarray:
-    """Sums of gradient, hessian and rows: nodes x features x bins x 3. The sums of ``few`` rows, of which one task
-    or a handful has all, are added up without a shuffle."""
+def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[int], tree: int, n: int, s: Settings) -> np.ndarray:
+    """Sums of gradient, hessian and rows: nodes x features x bins x 3."""
     share, factor = round(s.row_share * 100), DRAW * (2 * tree + 1) % DRAWS
     shape = (len(nodes), n, s.bins)
 
@@ -163,24 +168,26 @@ def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[in
         yield pa.record_batch([pa.array(cells), *(pa.array(x[cells]) for x in sums)], ["cell", "g", "h", "n"])
 
     cells = rows.mapInArrow(run, "cell bigint, g bigint, h bigint, n bigint")
-    if not few:
-        cells = cells.groupBy("cell").agg(*(F.sum(c).alias(c) for c in "ghn"))
+    cells = cells.groupBy("cell").agg(*(F.sum(c).alias(c) for c in "ghn"))
     table, out = cells.toArrow(), np.zeros((math.prod(shape), 3), np.int64)
     for k, c in enumerate("ghn"):
         np.add.at(out[:, k], table["cell"].to_numpy(), table[c].to_numpy())
     return (out / np.array([UNIT, UNIT, 1])).reshape(*shape, 3)
 
 
-def grow_tree(rows: DataFrame, trees: list[Tree], number: int, names: list[str], s: Settings, few: bool = False) -> Tree:
-    """The next tree: candidates are split level by level, one pass each, then the best leaves are kept as long as there may be more."""
+def grow_tree(histogram: Callable[[Tree, list[int]], np.ndarray], number: int, names: list[str], s: Settings) -> Tree:
+    """The next tree: candidates are split level by level, then the best leaves are kept as long as there may be more.
+
+    ``histogram`` gives the sums of nodes of a growing tree (see ``_histogram``), of the sampled columns at least.
+    """
     columns = sampled_columns(names, number, s)
     full, expand, stats = Tree(), {}, {}
     nodes = [0]
     for _ in range(s.depth):
-        sums = _histogram(rows, trees, full, nodes, number, len(names), s, few)
+        sums = histogram(full, nodes)
         following = []
         for node, own in zip(nodes, sums, strict=True):
-            stats[node] = own[0].sum(axis=0)
+            stats[node] = own[columns[0]].sum(axis=0)
             found = best_split(own, columns, s)
             if found:
                 gain, feature, cut = found
@@ -204,6 +211,72 @@ def grow_tree(rows: DataFrame, trees: list[Tree], number: int, names: list[str],
     return out
 
 
+class _Held:
+    """A training set of at most ``ROWS_PER_TASK`` rows in the task that grows the trees."""
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], names: list[str], s: Settings):
+        self.names, self.s = names, s
+        found = [(_bins_of(b, len(names)).astype(np.int16), *(b[c].to_numpy() for c in ("y", "w", "draw", "raw"))) for b in batches]
+        self.bins = np.concatenate([np.zeros((0, len(names)), np.int16), *(f[0] for f in found)])
+        self.y, self.w, self.draw, self.raw = (np.concatenate([np.zeros(0, t), *(f[k] for f in found)]) for k, t in ((1, float), (2, float), (3, np.int64), (4, float)))
+
+    def tree(self, number: int) -> Tree:
+        s, n = self.s, len(self.names)
+        columns, factor = sampled_columns(self.names, number, s), DRAW * (2 * number + 1) % DRAWS
+        mine = self.draw * factor % DRAWS // 65_536 % 100 < round(s.row_share * 100)
+        bins, y, w = self.bins[mine], self.y[mine], self.w[mine]
+        p = 1 / (1 + np.exp(-self.raw[mine]))
+        parts = [np.rint(w * (p - y) * UNIT).astype(np.int64), np.rint(w * p * (1 - p) * UNIT).astype(np.int64), np.ones(len(y), np.int64)]
+        at, known = np.zeros(len(y), np.int64), {}
+
+        def histogram(growing: Tree, nodes: list[int]) -> np.ndarray:
+            nonlocal at
+            at = growing.step(at, bins)
+            # Of two sides the smaller one is counted, the other one is what its parent has more.
+            above = {left: k for k, (f, left) in enumerate(zip(growing.feature, growing.left, strict=True)) if f >= 0}
+            counted, rest = [], {}
+            for left in sorted({x if x in above else x - 1 for x in nodes}) if nodes != [0] else []:
+                whole = known[above[left]]
+                sides = whole[growing.feature[above[left]], :, 2].cumsum()
+                less = 2 * sides[growing.cut[above[left]]] <= sides[-1]
+                counted.append(left if less else left + 1)
+                rest[left + 1 if less else left] = (whole, counted[-1])
+            counted = counted or [0]
+            number_of = np.full(len(growing.feature), -1)
+            number_of[counted] = np.arange(len(counted))
+            node = number_of[at]
+            here = np.flatnonzero(node >= 0)
+            node, own = node[here], [p[here] for p in parts]
+            sums = np.zeros((3, len(counted) * len(columns) * s.bins), np.int64)
+            for i, f in enumerate(columns):
+                cell = (node * len(columns) + i) * s.bins + bins[here, f]
+                for k, part in enumerate(own):
+                    np.add.at(sums[k], cell, part)
+            sums = sums.reshape(3, len(counted), len(columns), s.bins).transpose(1, 2, 3, 0)
+            for x, found in zip(counted, sums, strict=True):
+                known[x] = np.zeros((n, s.bins, 3), np.int64)
+                known[x][columns] = found
+            for x, (whole, other) in rest.items():
+                known[x] = whole - known[other]
+            return np.stack([known[x] for x in nodes]) / np.array([UNIT, UNIT, 1])
+
+        tree = grow_tree(histogram, number, self.names, s)
+        self.raw = _raw(self.bins, self.raw, [tree])
+        return tree
+
+
+def _grown_at_once(rows: DataFrame, names: list[str], s: Settings) -> list[Tree]:
+    """All trees, by one task that keeps the few rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = _Held(batches, names, s)
+        trees = [json.dumps(asdict(held.tree(number))) for number in range(s.rounds)]
+        yield pa.record_batch([pa.array(range(len(trees)), pa.int32()), pa.array(trees, pa.string())], ["tree", "value"])
+
+    told = rows.repartition(1).mapInArrow(run, "tree int, value string").collect()
+    return [Tree(**json.loads(r["value"])) for r in sorted(told)]
+
+
 @dataclass
 class BoostedModel:
     """Trees, the bin borders of the features and the score that all rows start from."""
@@ -300,8 +373,9 @@ def boost(train: DataFrame, names: list[str], target: str = "target", weight: st
 
     Trees start from the weighted log-odds. Each tree sees ``column_share`` of the features and the rows
     whose ``key`` (a whole number; by default a hash of the features) is drawn for it, so the same rows
-    give the same model however they are dealt out. After every ``block`` trees raw scores are
-    written, so a pass evaluates as many trees at most. An empty table, or one of a single
+    give the same model however they are dealt out. Up to ``ROWS_PER_TASK`` rows the
+    trees are one job, else a job a level; then raw scores are written after every ``block`` trees,
+    so a pass evaluates as many trees at most. An empty table, or one of a single
     class, gives a model without trees.
     """
     s = settings or Settings()
@@ -312,13 +386,16 @@ def boost(train: DataFrame, names: list[str], target: str = "target", weight: st
         return BoostedModel(list(names), [[] for _ in names], math.inf if one else -math.inf, [], s)
     start, borders = math.log(one / zero), bin_borders(train, names, s.bins)
     rows, trees = binned(train, names, borders, target, weight, key, start), []
+    if told["n"] <= ROWS_PER_TASK:
+        return BoostedModel(list(names), borders, start, _grown_at_once(rows, list(names), s), s)
     parts = -(-told["n"] // ROWS_PER_TASK)
     while len(trees) < s.rounds:
         recent: list[Tree] = []
         with _held(rows, "boosting", parts) as kept:
             while len(recent) < block and len(trees) + len(recent) < s.rounds:
-                tree = grow_tree(kept, recent, len(trees) + len(recent), list(names), s, few=parts == 1)
-                recent.append(tree)
+                number = len(trees) + len(recent)
+                sums = lambda growing, nodes: _histogram(kept, recent, growing, nodes, number, len(names), s)  # noqa: E731, B023
+                recent.append(grow_tree(sums, number, list(names), s))
         trees += recent
         if len(trees) < s.rounds:
             rows = _advanced(kept, recent, len(names))

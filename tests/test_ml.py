@@ -150,6 +150,21 @@ def test_boosted_trees_keep_their_limits(spark, labelled, fresh):
     assert abs(sum(model.importances()) - 1) < 1e-9 and accuracy(model, labelled) > 0.9
 
 
+def test_boosted_trees_of_one_job_equal_those_of_a_job_a_level(spark, labelled, monkeypatch):
+    rows_ = lab.with_class_weight(labelled)
+    settings = boosting.Settings(rounds=8, leaves=9, depth=5, leaf_rows=10, rate=0.3, bins=24)
+    spark.sparkContext.setJobGroup("boosting", "one job for all trees")
+    try:
+        at_once = boosting.boost(rows_, FEATURES, settings=settings)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("boosting"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 12  # a job a level makes 30 at least
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", 500)  # three tasks
+    assert boosting.boost(rows_, FEATURES, settings=settings, block=3) == at_once
+    assert len(at_once.trees) == 8 and max(len(t.feature) for t in at_once.trees) > 5
+
+
 def plain_boost(rows_, s, borders, start):
     """Leaf-wise trees one leaf at a time, all sums over the rows themselves."""
     x = np.array([[np.searchsorted(b, v) for b, v in zip(borders, r[:-3], strict=True)] for r in rows_])
