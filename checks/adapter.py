@@ -98,6 +98,15 @@ class Tables:
     def anomalies(self) -> DataFrame:
         return score_anomalies(self.hourly)
 
+    def stored(self) -> Tables:
+        """The same tables with the hourly summary, its features and alerts written, for answers that read them many times."""
+        out = Tables(self.spark, self.sf_dir)
+        for name in ("hourly", "features", "alerts"):  # each from the written ones before
+            path = scratch_path(self.spark, name)
+            write_parquet(getattr(out, name), path)
+            out.__dict__[name] = self.spark.read.parquet(path)
+        return out
+
     @cached_property
     def cells(self) -> DataFrame:
         """Centroids of the cells, a stage table."""

@@ -216,6 +216,7 @@ _HISTORY = ["activity_history_summary", "alert_history_summary", "prior_alerts"]
 
 
 def _evidence(t: Tables):
+    t = t.stored()
     newest = t.hourly.groupBy("grid_id").agg(F.max_by(F.struct("timestamp", "total_activity"), "timestamp").alias("r"))
     current, hot = asof.features_as_of(t.features), ranking.hotspots(t.hourly)
     model = models.train_tree(t.split[0])

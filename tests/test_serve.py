@@ -109,3 +109,14 @@ def test_alert_summaries(spark):
     share = alert_proportion(df, hourly(spark, [(g, h, 1.0) for g in (1, 2, 3) for h in (4, 5)])).first()
     assert tuple(share) == (3, 6, 0.5)
     assert alert_proportion(df.where(F.lit(False)), hourly(spark, [])).first().proportion is None
+
+
+def test_evidence_reads_the_events_once(spark):
+    from checks import area_rules
+    from checks.adapter import Tables
+    from conftest import SMALL
+
+    t = Tables(spark, SMALL)
+    assert any("events.parquet" in f for f in t.hourly.inputFiles())
+    found = area_rules._evidence(t)
+    assert not any("events.parquet" in f for f in found.inputFiles()) and found.count() == t.cells.count()
