@@ -3,8 +3,8 @@
 Rows stay on the executors. Every level of a tree needs the sums of gradients and hessians per (node, feature,
 bin) of all rows: a pass sums them inside a task, then over tasks. Rows that one task goes through in a pass
 anyway (``ROWS_PER_TASK``) stay in that task for all passes and trees, one job; beyond that every level is a
-job over written rows. Both give the same trees. What reaches the driver is bounded by the parameters (at most
-``2 ** (depth - 1) * features * bins`` sums a pass), and the model.
+job over arrays of rows held on the executors. Both give the same trees. What reaches the driver is bounded by the
+parameters (at most ``2 ** (depth - 2) * features * bins`` sums of each of ``PARTS_TOLD`` tasks a pass), and the model.
 """
 
 from __future__ import annotations
@@ -12,13 +12,14 @@ from __future__ import annotations
 import heapq
 import json
 import math
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+import pickle
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +27,15 @@ from gridops.session import scratch_path
 
 #: Sums are of whole numbers of this part of a unit, so that they do not depend on the order of the rows.
 UNIT = 1 << 24
-#: Rows that a task goes through in one pass.
-ROWS_PER_TASK = 500_000
+#: Rows that a task goes through in one pass. Up to so many, one task is done with all trees before the jobs of all levels
+#: have merely been started (about 0.1 s each), and needs some 150 bytes a row.
+ROWS_PER_TASK = 2_000_000
+#: Rows that are worth a task of their own where cores are free.
+ROWS_WORTH_A_TASK = 50_000
+#: Rows of one block of arrays.
+ROWS_PER_BLOCK = 100_000
+#: Tasks whose sums the driver adds up itself; those of more tasks are added on the executors first.
+PARTS_TOLD = 32
 #: Fixed multiplier and modulus of the draw that picks the rows of a tree.
 DRAW, DRAWS = 1_103_515_245, 1 << 31
 
@@ -139,40 +147,115 @@ def _raw(bins: np.ndarray, base: np.ndarray, trees: list[Tree]) -> np.ndarray:
     return base
 
 
-def _bins_of(batch: pa.RecordBatch, n: int) -> np.ndarray:
-    return np.stack([batch[f"b{i}"].to_numpy() for i in range(n)], axis=1).astype(np.int64)
+def bins_of(columns: list[np.ndarray], borders: list[list[float]]) -> np.ndarray:
+    """Bin of each value (rows x features): how many borders are below it; a missing value is in bin 0."""
+    return np.stack([np.where(np.isnan(x), 0, np.searchsorted(b, x)) for x, b in zip(columns, borders, strict=True)], axis=1)
 
 
-def _histogram(rows: DataFrame, trees: list[Tree], growing: Tree, nodes: list[int], tree: int, n: int, s: Settings) -> np.ndarray:
-    """Sums of gradient, hessian and rows: nodes x features x bins x 3."""
-    share, factor = round(s.row_share * 100), DRAW * (2 * tree + 1) % DRAWS
-    shape = (len(nodes), n, s.bins)
+def descended(tree: Tree, bins: Mapping[int, np.ndarray] | np.ndarray, rows: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """The numbers of the rows that stand at each node, followed down to where the tree ends; ``bins`` by feature."""
+    rows = dict(rows)
+    for node, (f, cut, left) in enumerate(zip(tree.feature, tree.cut, tree.left, strict=True)):  # children follow their parents
+        if f >= 0 and node in rows:
+            own = rows.pop(node)
+            up = bins[f][own] > cut
+            rows[left], rows[left + 1] = own[~up], own[up]
+    return rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, math.prod(shape)), np.int64)
-        number = np.full(len(growing.feature), -1)
-        number[nodes] = np.arange(len(nodes))
-        for batch in batches:
-            bins = _bins_of(batch, n)
-            node = number[growing.places(bins)]
-            mine = (node >= 0) & (batch["draw"].to_numpy() * factor % DRAWS // 65_536 % 100 < share)
-            bins, node = bins[mine], node[mine]
-            y, w = batch["y"].to_numpy()[mine], batch["w"].to_numpy()[mine]
-            p = 1 / (1 + np.exp(-_raw(bins, batch["raw"].to_numpy()[mine], trees)))
-            parts = (np.rint(w * (p - y) * UNIT), np.rint(w * p * (1 - p) * UNIT), np.ones(len(y)))
-            for f in range(n):
-                cell = (node * n + f) * s.bins + bins[:, f]
-                for k, part in enumerate(parts):
-                    np.add.at(sums[k], cell, part.astype(np.int64))
-        cells = np.flatnonzero(sums[2])
-        yield pa.record_batch([pa.array(cells), *(pa.array(x[cells]) for x in sums)], ["cell", "g", "h", "n"])
-
-    cells = rows.mapInArrow(run, "cell bigint, g bigint, h bigint, n bigint")
-    cells = cells.groupBy("cell").agg(*(F.sum(c).alias(c) for c in "ghn"))
-    table, out = cells.toArrow(), np.zeros((math.prod(shape), 3), np.int64)
-    for k, c in enumerate("ghn"):
-        np.add.at(out[:, k], table["cell"].to_numpy(), table[c].to_numpy())
-    return (out / np.array([UNIT, UNIT, 1])).reshape(*shape, 3)
+
+@dataclass
+class Block:
+    """Training rows in arrays: bins (features x rows), target, weight, draw, raw score so far."""
+
+    bins: np.ndarray
+    y: np.ndarray
+    w: np.ndarray
+    draw: np.ndarray
+    raw: np.ndarray
+
+    def drawn(self, number: int, columns: list[int], s: Settings) -> tuple[dict[int, np.ndarray], list[np.ndarray]]:
+        """Bins by feature of the rows drawn for a tree, their gradients and hessians in whole numbers of ``UNIT``."""
+        factor = DRAW * (2 * number + 1) % DRAWS
+        mine = np.flatnonzero((self.draw * factor & (DRAWS - 1)) // 65_536 % 100 < round(s.row_share * 100))
+        y, w = self.y[mine], self.w[mine]
+        p = 1 / (1 + np.exp(-self.raw[mine]))
+        return {f: self.bins[f][mine] for f in columns}, [np.rint(w * (p - y) * UNIT), np.rint(w * p * (1 - p) * UNIT)]
+
+    def advanced(self, tree: Tree) -> Block:
+        """The rows with a tree added to their raw scores."""
+        raw = self.raw.copy()
+        for leaf, own in descended(tree, self.bins, {0: np.arange(len(raw))}).items():
+            raw[own] += tree.weight[leaf]
+        return Block(self.bins, self.y, self.w, self.draw, raw)
+
+
+def blocks(batches: Iterable[pa.RecordBatch], borders: list[list[float]], start: float, bins: int, most: int | None) -> Iterator[Block]:
+    """Blocks of at most ``most`` rows, or one of all rows, from batches of what ``learned`` selects."""
+    found, rows = [], 0
+    kind = np.uint8 if bins <= 256 else np.uint16
+
+    def joined() -> Block:
+        bins, y, w, draw = zip(*found, strict=True) if found else [[np.zeros((len(borders), 0), kind)], [np.zeros(0)], [np.zeros(0)], [np.zeros(0, np.int64)]]
+        y = np.concatenate(y)
+        return Block(np.concatenate(bins, axis=1), y, np.concatenate(w), np.concatenate(draw), np.full(len(y), start))
+
+    for batch in batches:
+        for at in range(0, batch.num_rows, most or max(batch.num_rows, 1)):
+            part = batch.slice(at, most)
+            if found and most and rows + part.num_rows > most:
+                yield joined()
+                found, rows = [], 0
+            features = [part[f"x{i}"].to_numpy(zero_copy_only=False) for i in range(len(borders))]
+            found.append((bins_of(features, borders).astype(kind).T, *(part[c].to_numpy() for c in ("y", "w", "draw"))))
+            rows += part.num_rows
+    yield joined()
+
+
+def _sums(rows: dict[int, np.ndarray], nodes: list[int], bins: dict[int, np.ndarray], parts: list[np.ndarray], s: Settings) -> np.ndarray:
+    """Sums of gradient, hessian and rows in whole numbers: nodes x sampled columns x bins x 3."""
+    out = np.zeros((len(nodes), len(bins), s.bins, 3), np.int64)
+    # Sums below 2 ** 53 are exact in floating point, whatever their order.
+    exact = [np.abs(p).sum() < 1 << 52 for p in parts]
+    for sums, node in zip(out, nodes, strict=True):
+        here = rows.get(node, np.zeros(0, np.int64))
+        own = [p[here] for p in parts]
+        for told, column in zip(sums, bins.values(), strict=True):
+            cell = column[here].astype(np.int64)
+            for k, part in enumerate(own):
+                if exact[k]:
+                    told[:, k] = np.bincount(cell, part, s.bins)
+                else:
+                    np.add.at(told[:, k], cell, part.astype(np.int64))
+            told[:, 2] = np.bincount(cell, minlength=s.bins)
+    return out
+
+
+def _histogram(counted: Callable[[Tree, list[int]], np.ndarray], columns: list[int], n: int, s: Settings) -> Callable[[Tree, list[int]], np.ndarray]:
+    """Sums of gradient, hessian and rows of nodes of one tree: nodes x features x bins x 3.
+
+    ``counted`` gives those of some nodes and the sampled columns by going through the rows. Of two sides the
+    smaller one is counted, the other one is what its parent has more.
+    """
+    known: dict[int, np.ndarray] = {}
+
+    def histogram(growing: Tree, nodes: list[int]) -> np.ndarray:
+        above = {left: k for k, (f, left) in enumerate(zip(growing.feature, growing.left, strict=True)) if f >= 0}
+        smaller, rest = [], {}
+        for left in sorted({x if x in above else x - 1 for x in nodes}) if nodes != [0] else []:
+            whole = known[above[left]]
+            sides = whole[growing.feature[above[left]], :, 2].cumsum()
+            less = 2 * sides[growing.cut[above[left]]] <= sides[-1]
+            smaller.append(left if less else left + 1)
+            rest[left + 1 if less else left] = (whole, smaller[-1])
+        smaller = smaller or [0]
+        for x, found in zip(smaller, counted(growing, smaller), strict=True):
+            known[x] = np.zeros((n, s.bins, 3), np.int64)
+            known[x][columns] = found
+        for x, (whole, other) in rest.items():
+            known[x] = whole - known[other]
+        return np.stack([known[x] for x in nodes]) / np.array([UNIT, UNIT, 1])
+
+    return histogram
 
 
 def grow_tree(histogram: Callable[[Tree, list[int]], np.ndarray], number: int, names: list[str], s: Settings) -> Tree:
@@ -211,72 +294,85 @@ def grow_tree(histogram: Callable[[Tree, list[int]], np.ndarray], number: int, n
     return out
 
 
-class _Held:
-    """A training set of at most ``ROWS_PER_TASK`` rows in the task that grows the trees."""
+def _tree_of(block: Block, number: int, names: list[str], s: Settings) -> Tree:
+    """The next tree of a training set that is one block."""
+    columns = sampled_columns(names, number, s)
+    bins, parts = block.drawn(number, columns, s)
+    rows = {0: np.arange(len(parts[0]))}
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], names: list[str], s: Settings):
-        self.names, self.s = names, s
-        found = [(_bins_of(b, len(names)).astype(np.int16), *(b[c].to_numpy() for c in ("y", "w", "draw", "raw"))) for b in batches]
-        self.bins = np.concatenate([np.zeros((0, len(names)), np.int16), *(f[0] for f in found)])
-        self.y, self.w, self.draw, self.raw = (np.concatenate([np.zeros(0, t), *(f[k] for f in found)]) for k, t in ((1, float), (2, float), (3, np.int64), (4, float)))
+    def counted(growing: Tree, nodes: list[int]) -> np.ndarray:
+        nonlocal rows
+        rows = descended(growing, bins, rows)
+        return _sums(rows, nodes, bins, parts, s)
 
-    def tree(self, number: int) -> Tree:
-        s, n = self.s, len(self.names)
-        columns, factor = sampled_columns(self.names, number, s), DRAW * (2 * number + 1) % DRAWS
-        mine = self.draw * factor % DRAWS // 65_536 % 100 < round(s.row_share * 100)
-        bins, y, w = self.bins[mine], self.y[mine], self.w[mine]
-        p = 1 / (1 + np.exp(-self.raw[mine]))
-        parts = [np.rint(w * (p - y) * UNIT).astype(np.int64), np.rint(w * p * (1 - p) * UNIT).astype(np.int64), np.ones(len(y), np.int64)]
-        at, known = np.zeros(len(y), np.int64), {}
-
-        def histogram(growing: Tree, nodes: list[int]) -> np.ndarray:
-            nonlocal at
-            at = growing.step(at, bins)
-            # Of two sides the smaller one is counted, the other one is what its parent has more.
-            above = {left: k for k, (f, left) in enumerate(zip(growing.feature, growing.left, strict=True)) if f >= 0}
-            counted, rest = [], {}
-            for left in sorted({x if x in above else x - 1 for x in nodes}) if nodes != [0] else []:
-                whole = known[above[left]]
-                sides = whole[growing.feature[above[left]], :, 2].cumsum()
-                less = 2 * sides[growing.cut[above[left]]] <= sides[-1]
-                counted.append(left if less else left + 1)
-                rest[left + 1 if less else left] = (whole, counted[-1])
-            counted = counted or [0]
-            number_of = np.full(len(growing.feature), -1)
-            number_of[counted] = np.arange(len(counted))
-            node = number_of[at]
-            here = np.flatnonzero(node >= 0)
-            node, own = node[here], [p[here] for p in parts]
-            sums = np.zeros((3, len(counted) * len(columns) * s.bins), np.int64)
-            for i, f in enumerate(columns):
-                cell = (node * len(columns) + i) * s.bins + bins[here, f]
-                for k, part in enumerate(own):
-                    np.add.at(sums[k], cell, part)
-            sums = sums.reshape(3, len(counted), len(columns), s.bins).transpose(1, 2, 3, 0)
-            for x, found in zip(counted, sums, strict=True):
-                known[x] = np.zeros((n, s.bins, 3), np.int64)
-                known[x][columns] = found
-            for x, (whole, other) in rest.items():
-                known[x] = whole - known[other]
-            return np.stack([known[x] for x in nodes]) / np.array([UNIT, UNIT, 1])
-
-        tree = grow_tree(histogram, number, self.names, s)
-        self.raw = _raw(self.bins, self.raw, [tree])
-        return tree
-
-
-def _grown_at_once(rows: DataFrame, names: list[str], s: Settings) -> list[Tree]:
+    return grow_tree(_histogram(counted, columns, len(names), s), number, names, s)
+
+
+def _grown_at_once(rows: DataFrame, names: list[str], borders: list[list[float]], start: float, s: Settings) -> list[Tree]:
     """All trees, by one task that keeps the few rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = _Held(batches, names, s)
-        trees = [json.dumps(asdict(held.tree(number))) for number in range(s.rounds)]
+        (block,), trees = blocks(batches, borders, start, s.bins, None), []
+        for number in range(s.rounds):
+            tree = _tree_of(block, number, names, s)
+            block = block.advanced(tree)
+            trees.append(json.dumps(asdict(tree)))
         yield pa.record_batch([pa.array(range(len(trees)), pa.int32()), pa.array(trees, pa.string())], ["tree", "value"])
 
     told = rows.repartition(1).mapInArrow(run, "tree int, value string").collect()
     return [Tree(**json.loads(r["value"])) for r in sorted(told)]
 
 
+def _counted(kept: RDD, growing: Tree, nodes: list[int], number: int, columns: list[int], s: Settings) -> np.ndarray:
+    """What ``_sums`` says of all blocks, one job."""
+
+    def run(found: Iterator[Block]) -> Iterator[np.ndarray]:
+        sums = np.zeros((len(nodes), len(columns), s.bins, 3), np.int64)
+        for block in found:
+            bins, parts = block.drawn(number, columns, s)
+            sums += _sums(descended(growing, bins, {0: np.arange(len(parts[0]))}), nodes, bins, parts, s)
+        yield sums
+
+    sums = kept.mapPartitions(run)
+    return sums.treeReduce(np.add) if kept.getNumPartitions() > PARTS_TOLD else sum(sums.collect())
+
+
+def _grown_by_level(rows: DataFrame, names: list[str], borders: list[list[float]], start: float, s: Settings, parts: int, every: int) -> list[Tree]:
+    """All trees, a job a level over blocks that are kept in memory with their raw scores.
+
+    The blocks of a tree follow from those of the tree before; what is lost is computed anew, from blocks
+    that are written first and after ``every`` trees.
+    """
+    context, bins = rows.sparkSession.sparkContext, s.bins
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, borders, start, bins, ROWS_PER_BLOCK):
+            yield pa.record_batch([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
+
+    def written(some: RDD) -> RDD:
+        path = scratch_path(rows.sparkSession, "boosting")
+        some.saveAsPickleFile(path, 1)
+        return context.pickleFile(path, 1)
+
+    keep = lambda some: some.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = [keep(written(rows.repartition(parts).mapInArrow(packed, "block binary").rdd.map(lambda r: pickle.loads(r["block"]))))]
+    trees: list[Tree] = []
+    try:
+        for number in range(s.rounds):
+            columns = sampled_columns(names, number, s)
+            counted = lambda growing, nodes: _counted(kept[-1], growing, nodes, number, columns, s)  # noqa: E731, B023
+            trees.append(grow_tree(_histogram(counted, columns, len(names), s), number, names, s))
+            while len(kept) > 1:  # by now the last ones are in memory
+                kept.pop(0).unpersist()
+            if len(trees) < s.rounds:
+                following = kept[-1].map(lambda block, tree=trees[-1]: block.advanced(tree))
+                kept.append(keep(following if len(trees) % every else written(following)))
+    finally:
+        for some in kept:
+            some.unpersist()
+    return trees
+
+
 @dataclass
 class BoostedModel:
     """Trees, the bin borders of the features and the score that all rows start from."""
@@ -288,8 +384,7 @@ class BoostedModel:
     settings: Settings
 
     def bins(self, columns: list[np.ndarray]) -> np.ndarray:
-        """Bin of each value: how many borders are below it; a missing value is in bin 0."""
-        return np.stack([np.where(np.isnan(x), 0, np.searchsorted(b, x)) for x, b in zip(columns, self.borders, strict=True)], axis=1)
+        return bins_of(columns, self.borders)
 
     def risk(self) -> Column:
         """Probability of class 1 of the rows of a frame that has the features."""
@@ -333,49 +428,34 @@ class BoostedModel:
 
 
 def bin_borders(rows: DataFrame, names: list[str], bins: int) -> list[list[float]]:
-    """Distinct quantiles of each feature, ``bins - 1`` at most, from bounded sketches (exact up to 10,000 values)."""
+    """Distinct quantiles of each feature, ``bins - 1`` at most, from bounded sketches (exact up to 10,000 values).
+
+    A quantile that is not a number is above no value and is no border.
+    """
     shares = [i / bins for i in range(1, bins)]
     found = rows.agg(*(F.percentile_approx(F.col(c).cast("double"), shares).alias(c) for c in names)).first()
-    return [sorted(set(found[c] or [])) for c in names]
+    return [sorted({x for x in found[c] or [] if not math.isnan(x)}) for c in names]
 
 
-def binned(rows: DataFrame, names: list[str], borders: list[list[float]], target: str, weight: str | None, key: Column | None, start: float) -> DataFrame:
-    """What a pass reads of a row: a bin per feature, target, weight, draw, raw score so far."""
-    columns = []
-    for i, (c, own) in enumerate(zip(names, borders, strict=True)):
-        value = F.col(c).cast("double")
-        below = sum((F.when(value > b, 1).otherwise(0) for b in own), F.lit(0))
-        columns.append(F.when(value.isNull() | F.isnan(value), 0).otherwise(below).cast("smallint").alias(f"b{i}"))
+def learned(rows: DataFrame, names: list[str], target: str, weight: str | None, key: Column | None) -> DataFrame:
+    """What is learned from a row: its features, target, weight and draw."""
     key = F.xxhash64(*names, target) if key is None else key
     return rows.select(
-        *columns,
+        *(F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)),
         F.col(target).cast("double").alias("y"),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
         F.pmod(key.cast("bigint"), F.lit(DRAWS).cast("bigint")).alias("draw"),
-        F.lit(start).alias("raw"),
     )
 
 
-@contextmanager
-def _held(df: DataFrame, label: str, parts: int):
-    """``df`` written and kept in memory while it is read again and again; what is lost is read anew."""
-    path = scratch_path(df.sparkSession, label)
-    df.coalesce(parts).write.parquet(path)
-    kept = df.sparkSession.read.schema(df.schema).parquet(path).cache()
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
-
-
 def boost(train: DataFrame, names: list[str], target: str = "target", weight: str | None = "weight", key: Column | None = None, settings: Settings | None = None, block: int = 25) -> BoostedModel:
     """Fit a binary classifier on ``train``.
 
     Trees start from the weighted log-odds. Each tree sees ``column_share`` of the features and the rows
     whose ``key`` (a whole number; by default a hash of the features) is drawn for it, so the same rows
     give the same model however they are dealt out. Up to ``ROWS_PER_TASK`` rows the
-    trees are one job, else a job a level; then raw scores are written after every ``block`` trees,
-    so a pass evaluates as many trees at most. An empty table, or one of a single
+    trees are one job, else a job a level; then the rows are written after every ``block`` trees,
+    so a lost task computes as many trees' scores anew at most. An empty table, or one of a single
     class, gives a model without trees.
     """
     s = settings or Settings()
@@ -385,29 +465,10 @@ def boost(train: DataFrame, names: list[str], target: str = "target", weight: st
     if not one or not zero:
         return BoostedModel(list(names), [[] for _ in names], math.inf if one else -math.inf, [], s)
     start, borders = math.log(one / zero), bin_borders(train, names, s.bins)
-    rows, trees = binned(train, names, borders, target, weight, key, start), []
+    rows = learned(train, names, target, weight, key)
     if told["n"] <= ROWS_PER_TASK:
-        return BoostedModel(list(names), borders, start, _grown_at_once(rows, list(names), s), s)
-    parts = -(-told["n"] // ROWS_PER_TASK)
-    while len(trees) < s.rounds:
-        recent: list[Tree] = []
-        with _held(rows, "boosting", parts) as kept:
-            while len(recent) < block and len(trees) + len(recent) < s.rounds:
-                number = len(trees) + len(recent)
-                sums = lambda growing, nodes: _histogram(kept, recent, growing, nodes, number, len(names), s)  # noqa: E731, B023
-                recent.append(grow_tree(sums, number, list(names), s))
-        trees += recent
-        if len(trees) < s.rounds:
-            rows = _advanced(kept, recent, len(names))
+        trees = _grown_at_once(rows, list(names), borders, start, s)
+    else:
+        free = min(rows.sparkSession.sparkContext.defaultParallelism, -(-told["n"] // ROWS_WORTH_A_TASK))
+        trees = _grown_by_level(rows, list(names), borders, start, s, max(free, -(-told["n"] // ROWS_PER_TASK)), block)
     return BoostedModel(list(names), borders, start, trees, s)
-
-
-def _advanced(rows: DataFrame, trees: list[Tree], n: int) -> DataFrame:
-    """The rows with the trees added to their raw scores."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            raw = _raw(_bins_of(batch, n), batch["raw"].to_numpy(), trees)
-            yield batch.set_column(batch.schema.get_field_index("raw"), "raw", pa.array(raw))
-
-    return rows.mapInArrow(run, rows.schema)

@@ -231,3 +231,45 @@ def test_boosting_without_a_second_class(spark, labelled):
         one = labelled.withColumns({"target": F.lit(target), "weight": F.lit(1.0)})
         assert m.score_probability(m.train_boosted(one, rounds=3), labelled).agg(F.max("risk_score"), F.min("risk_score")).first() == (target, target)
     assert m.score_probability(m.train_boosted(one.limit(0), rounds=3), labelled).count() == 1200
+
+
+def test_boosting_beyond_half_a_million_rows_is_not_a_job_a_level(spark):
+    rows_ = spark.range(600_000).select(*((F.xxhash64("id", F.lit(i)) % 1000 / 10).alias(c) for i, c in enumerate(FEATURES)), F.lit(1.0).alias("weight"), "id")
+    rows_ = rows_.withColumn("target", (F.col(FEATURES[0]) + F.col(FEATURES[1]) > 0).cast("int"))
+    settings = boosting.Settings(rounds=6, leaves=6, depth=4, rate=0.3, bins=8)
+    spark.sparkContext.setJobGroup("many", "one job for all trees")
+    try:
+        model = boosting.boost(rows_, FEATURES, key=F.col("id"), settings=settings)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("many"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 12  # a job a level makes 24 at least
+    assert len(model.trees) == 6 and abs(model.trees[0].rows[0] - 0.85 * 600_000) < 5000
+
+
+def test_boosting_is_the_same_in_many_blocks_with_gaps_and_huge_weights(spark, labelled, monkeypatch):
+    rows_ = labelled.withColumns({"weight": F.lit(3.7e9) + F.col("active_hours"), "peak_ratio": F.when(F.col("active_hours") > 3, F.col("peak_ratio"))})
+    rows_ = rows_.withColumn("variability", F.when(F.col("active_hours") > 20, F.lit(float("nan"))).otherwise(F.col("variability")))
+    settings = boosting.Settings(rounds=4, leaves=7, depth=4, leaf_rows=10, rate=0.3, bins=24)
+    at_once = boosting.boost(rows_, FEATURES, settings=settings)
+    assert len(at_once.trees) == 4 and all(len(t.feature) > 1 for t in at_once.trees)
+    for name, value in (("ROWS_PER_TASK", 200), ("ROWS_PER_BLOCK", 64), ("PARTS_TOLD", 2)):
+        monkeypatch.setattr(boosting, name, value)
+    asked, own = [], boosting._counted
+    monkeypatch.setattr(boosting, "_counted", lambda kept, growing, nodes, *rest: asked.append(nodes) or own(kept, growing, nodes, *rest))
+    assert boosting.boost(rows_, FEATURES, settings=settings, block=2) == at_once
+    # Of two sides only one is gone through.
+    assert all(len({(x + 1) // 2 for x in nodes}) == len(nodes) for nodes in asked) and max(map(len, asked)) > 1
+
+
+def test_sums_are_exact():
+    rng = np.random.default_rng(3)
+    for size in (1e3, 1e14):  # sums of the second are beyond floating point
+        bins, parts = {2: rng.integers(0, 4, 500).astype(np.uint8)}, [np.rint(rng.normal(size=500) * size) for _ in range(2)]
+        own = {5: np.arange(0, 500, 3), 6: np.arange(1, 500, 3)}
+        got = boosting._sums(own, [6, 5, 9], bins, parts, boosting.Settings(bins=4))
+        for k, node in enumerate((6, 5)):
+            for cell in range(4):
+                here = [i for i in own[node] if bins[2][i] == cell]
+                assert got[k, 0, cell].tolist() == [*(sum(int(p[i]) for i in here) for p in parts), len(here)]
+        assert not got[2].any()
