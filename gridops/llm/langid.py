@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridops.llm.common import flat_bytes, slices, stage
 from gridops.llm.units import distinct, word_spans
@@ -184,20 +185,25 @@ def classify_texts(net: Network | None, texts: pa.Array) -> tuple[list[str], np.
     Every byte of every word gets log-probabilities; a word weighs its positions' mean,
     a text sums its words and the softmax of that sum is its score.
     """
-    lettered = _lettered(texts)
-    if net is None or not len(texts):
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    sums, _ = _word_sums(net, texts)
-    pooled = np.exp(_log_softmax(sums))
-    best = pooled.argmax(axis=1)
-    names = [net.labels[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
-    return names, np.where(lettered, pooled[np.arange(len(best)), best], 0.0)
+    names, scores, _ = identified(net, texts)
+    return names, scores
 
 
 def typical(net: Network, texts: pa.Array) -> np.ndarray:
     """Mean log-probability of a text's best language over its words: does not depend on the length of a text."""
+    return identified(net, texts)[2]
+
+
+def identified(net: Network | None, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score (see ``classify_texts``) and ``typical`` value of each text, from one reading."""
+    if net is None or not len(texts):
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), -np.inf)
+    lettered = _lettered(texts)
     sums, words = _word_sums(net, texts)
-    return sums.max(axis=1, initial=-np.inf) / np.maximum(words, 1)
+    pooled = np.exp(_log_softmax(sums))
+    best = pooled.argmax(axis=1)
+    names = [net.labels[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), lettered.tolist(), strict=True)]
+    return names, np.where(lettered, pooled[np.arange(len(best)), best], 0.0), sums.max(axis=1, initial=-np.inf) / np.maximum(words, 1)
 
 
 def _lettered(texts: pa.Array) -> np.ndarray:
@@ -265,11 +271,13 @@ def calibrated(sample: DataFrame, net: Network) -> float:
 
 
 def keep_identified(docs: DataFrame, net: Network | None = None, least: float | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that are in a language, all columns as they are, whatever their names.
+    """The rows of ``docs`` that are in a language, with the language that the network finds in the text as ``lang_col``.
 
-    Rejected are texts without a letter, and texts whose words the network finds less typical of any language
-    (mean log-probability, see ``typical``) than ``least``; by default that is ``calibrated`` on the documents learned
-    from, with as much room below the least of them as it is below their median. Where nothing can be learned, every text with a letter stays.
+    Every row gets the language of ``classify_texts``, in the type of that column, whatever stood there; a column that is
+    missing is added. All other columns are as they are, whatever their names. Rejected are texts without a letter, and
+    texts whose words the network finds less typical of any language (mean log-probability, see ``typical``) than ``least``;
+    by default that is ``calibrated`` on the documents learned from, with as much room below the least of them as it is
+    below their median. Where nothing can be learned, every text with a letter stays, with the label it has.
     """
     if net is None or least is None:
         sample = learned_documents(docs, id_col=id_col, text_col=text_col, lang_col=lang_col)
@@ -280,12 +288,18 @@ def keep_identified(docs: DataFrame, net: Network | None = None, least: float |
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            keep = _lettered(batch[text])
+            keep, names = _lettered(batch[text]), [None] * batch.num_rows
             if net is not None and len(keep):
-                keep = keep & (typical(net, batch[text]) >= least)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+                names, _, values = identified(net, batch[text])
+                keep = keep & (values >= least)
+            told = pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string())], [*batch.schema.names, "told"])
+            yield told.filter(pa.array(keep, pa.bool_()))
 
+    if lang_col not in docs.columns:
+        docs = docs.withColumn(lang_col, F.lit(None).cast("string"))
     # By number, as Arrow functions take no column whose name has a dot.
     numbered = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    text = numbered.columns[docs.columns.index(text_col)]
-    return numbered.mapInArrow(run, numbered.schema).toDF(*docs.columns)
+    text, lang = (numbered.columns[docs.columns.index(c)] for c in (text_col, lang_col))
+    kept = numbered.mapInArrow(run, T.StructType([*numbered.schema.fields, T.StructField("told", T.StringType())]))
+    found = F.col("told").cast(numbered.schema[lang].dataType) if net is not None else F.col(lang)
+    return kept.select(*(found.alias(c) if c == lang else F.col(c) for c in numbered.columns)).toDF(*docs.columns)

@@ -382,6 +382,29 @@ def test_stage_keeps_what_has_a_language(spark, documents, odd):
     assert langid.keep_identified(spark.createDataFrame([(1, junk, None)], "doc_id long, text string, lang string"), net, least=values[0] + 0.01).count() == 0
 
 
+def test_stage_tells_the_language_of_each_text(spark, documents):
+    import corpus_pipeline
+
+    # Labels that nothing may be learned from are missing or wrong; the texts tell the languages all the same.
+    given = F.when(~langid.is_held_out(), F.col("lang")).when(F.col("doc_id") % 2 == 0, F.lit("xx"))
+    rows = documents.withColumn("lang", given)
+    truth, net = {r["doc_id"]: r["lang"] for r in documents.collect()}, langid.train(rows)
+    want = {r["doc_id"]: r["lang_pred"] for r in langid.predict_language(rows, net).collect()}
+    got = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, rows, SMALL).collect()}
+    assert got == {i: want[i] for i in got} and len(got) > 0.9 * len(truth) and "und" not in got.values()
+    held = [r["doc_id"] for r in rows.where(langid.is_held_out()).collect() if r["doc_id"] in got]
+    assert held and np.mean([got[i] == truth[i] for i in held]) > 0.95
+    # In the type of the column, or as a column of its own; where nothing can be learned a label stays.
+    numbers = documents.withColumn("lang", F.ascii("lang"))
+    told = langid.keep_identified(numbers)
+    assert told.schema["lang"].dataType == numbers.schema["lang"].dataType
+    assert np.mean([r["lang"] == ord(truth[r["doc_id"]][0]) for r in told.collect()]) > 0.95
+    added = langid.keep_identified(documents.drop("lang"), net, least=-np.inf)
+    assert added.columns == [*documents.drop("lang").columns, "lang"] and {r["doc_id"]: r["lang"] for r in added.collect()} == {i: w for i, w in want.items() if w != "und"}
+    held_only = langid.keep_identified(documents.where(langid.is_held_out()))
+    assert held_only.count() and all(r["lang"] == truth[r["doc_id"]] for r in held_only.collect())
+
+
 def test_training_sample_is_bounded_whatever_repeats(spark):
     rows = [(i, f"w{i} same", "aa") for i in range(300)] + [(7, "hot text", "aa")] * 600 + [(i, f"v{i}", "bb") for i in range(5)] + [(9, None, "bb"), (9, "x", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
